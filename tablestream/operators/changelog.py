@@ -1,13 +1,16 @@
 """Keyed, append-only and partial-sum tables kept as Parquet changes.
 
-    <root>/<table>/changes/branch=<b>/batch_id=<n>/*.parquet   written first
-    <root>/<table>/commits/branch=<b>/batch_id=<n>/*.parquet   one row, written last
+    <root>/<table>/changes/branch=<b>/batch_id=<n>/   the rows, written first
+    <root>/<table>/commits/<b>/<fold>/<n>/            one row, written last
 
 Readers open only the folders of committed batches since the newest base, so a
-half-written batch is never seen and old history is not even listed. A writer
-names its own batch (``writer``, ``writer_batch``); a replay of a committed one
-is a no-op and a replay of an uncommitted one overwrites its leftovers. One
-writer at a time per table and branch.
+half-written batch is never seen and old history is not even listed. Commits are
+folded: the first commit of every hundred repeats the earlier rows, so a reader
+lists and opens one fold however long the history is.
+
+A writer names its own batch (``writer``, ``writer_batch``); a replay of a
+committed one is a no-op and a replay of an uncommitted one overwrites its
+leftovers. One writer at a time per table and branch.
 """
 
 from __future__ import annotations
@@ -15,16 +18,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablestream.operators import keyed
-from tablestream.schemas import APPEND, COMMIT, KEYED, SUMS, TableSpec
+from tablestream.schemas import COMMIT, KEYED, SUMS, TableSpec
 
 MAIN = "main"
 ADD, REPLACE, FORK, TAG = "append", "replace", "fork", "tag"
+#: Commits per fold.
+FOLD = 100
 
 
 class NoSuchVersion(LookupError):
@@ -49,18 +53,30 @@ class EventTable:
     # -- commits -----------------------------------------------------------
 
     def commits(self) -> DataFrame:
-        """One row per commit; empty before the first one."""
-        try:
-            return self.spark.read.schema(COMMIT).parquet(f"{self.path}/commits")
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
-                raise
-            return self.spark.createDataFrame([], COMMIT)
+        """One row per commit of every branch and tag; empty before the first."""
+        return self._read_commits(self._children("commits"))
 
     def versions(self, branch: str = MAIN) -> DataFrame:
-        return self.commits().where(
-            (F.col("branch") == branch) & F.col("operation").isin(ADD, REPLACE, FORK)
-        )
+        return self._read_commits([branch]).where(F.col("operation").isin(ADD, REPLACE, FORK))
+
+    def _read_commits(self, branches: list[str]) -> DataFrame:
+        newest = [
+            f"{self.path}/commits/{b}/{max(folds)}"
+            for b in branches
+            if (folds := [int(x) for x in self._children(f"commits/{b}")])
+        ]
+        if not newest:
+            return self.spark.createDataFrame([], COMMIT)
+        reader = self.spark.read.schema(COMMIT).option("recursiveFileLookup", "true")
+        return reader.parquet(*newest)
+
+    def _children(self, folder: str) -> list[str]:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        files = path.getFileSystem(conf)
+        if not files.exists(path):
+            return []
+        return [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
 
     def latest_version(self, branch: str = MAIN) -> int:
         """The newest committed batch of ``branch``; fails if there is none."""
@@ -101,13 +117,9 @@ class EventTable:
 
         Rows may carry ``_seq`` and ``_op``; they default to 0 and ``U``.
         """
-        if writer is not None:
-            done = self.versions(branch).where(
-                (F.col("writer") == writer) & (F.col("writer_batch") == writer_batch)
-            ).agg(F.max("batch_id")).first()[0]
-            if done is not None:
-                return done
-        batch_id = self._next(branch)
+        batch_id, done = self._next(branch, writer, writer_batch)
+        if done is not None:
+            return done
         folder = self._folder(branch, batch_id)
         self.as_changes(rows).write.mode("overwrite").parquet(folder)
         # The count comes from the Parquet footers just written.
@@ -141,33 +153,37 @@ class EventTable:
             ]
         )
 
-    def _next(self, branch: str) -> int:
-        head = self.versions(branch).agg(F.max("batch_id")).first()[0]
-        if head is not None:
-            return head + 1
-        if branch != MAIN:
+    def _next(
+        self, branch: str, writer: str | None = None, writer_batch: int | None = None
+    ) -> tuple[int, int | None]:
+        """The next batch id, and the id the writer's batch has already got."""
+        mine = (F.col("writer") == F.lit(writer)) & (F.col("writer_batch") == F.lit(writer_batch))
+        head, done = (
+            self.versions(branch)
+            .agg(F.max("batch_id"), F.max(F.when(mine, F.col("batch_id"))))
+            .first()
+        )
+        if head is None and branch != MAIN:
             raise NoSuchVersion(f"create branch {branch} of {self.spec.name} before writing to it")
-        return 0
+        return (0 if head is None else head + 1), done
 
     def _folder(self, branch: str, batch_id: int) -> str:
         return f"{self.path}/changes/branch={branch}/batch_id={batch_id}"
 
-    def _commit(self, branch: str, batch_id: int, operation: str, folder: str | None = None, **values):
+    def _commit(self, branch: str, batch_id: int, operation: str, **values) -> None:
         given = {"branch": branch, "batch_id": batch_id, "operation": operation, **values}
-        stored = [f for f in COMMIT if f.name not in ("branch", "batch_id")]
-        columns = [
-            F.current_timestamp().cast(f.dataType).alias(f.name)
-            if f.name == "commit_ts"
-            else F.lit(given.get(f.name)).cast(f.dataType).alias(f.name)
-            for f in stored
-        ]
-        folder = folder or f"branch={branch}/batch_id={batch_id}"
-        (
-            self.spark.range(0, 1, 1, 1)
-            .select(*columns)
-            .write.mode("overwrite")
-            .parquet(f"{self.path}/commits/{folder}")
+        row = self.spark.range(0, 1, 1, 1).select(
+            *[
+                F.current_timestamp().cast(f.dataType).alias(f.name)
+                if f.name == "commit_ts"
+                else F.lit(given.get(f.name)).cast(f.dataType).alias(f.name)
+                for f in COMMIT
+            ]
         )
+        fold = 0 if operation == TAG else max(batch_id, 0) // FOLD
+        if fold and fold not in [int(x) for x in self._children(f"commits/{branch}")]:
+            row = self._read_commits([branch]).unionByName(row).coalesce(1)
+        row.write.mode("overwrite").parquet(f"{self.path}/commits/{branch}/{fold}/{batch_id}")
 
     # -- branches and tags ---------------------------------------------------
 
@@ -181,14 +197,12 @@ class EventTable:
 
     def refork(self, branch: str, source: str, at: int) -> None:
         """Let ``branch`` start again from ``source`` at ``at``, as after a publish."""
-        self._commit(branch, self._next(branch), FORK, rows=0, fork_batch=at, source_branch=source)
+        self._commit(branch, self._next(branch)[0], FORK, rows=0, fork_batch=at, source_branch=source)
 
     def create_tag(self, tag: str, branch: str = MAIN, at: int | None = None) -> int:
         """Name a version. The tag is a row of the commits, not a copy."""
         at = self.latest_version(branch) if at is None else at
-        self._commit(
-            tag, at, TAG, folder=f"branch={tag}/batch_id={at}", rows=0, fork_batch=at, source_branch=branch
-        )
+        self._commit(tag, at, TAG, rows=0, fork_batch=at, source_branch=branch)
         return at
 
     def refs(self) -> DataFrame:
@@ -207,8 +221,8 @@ class EventTable:
     def resolve(self, ref: str, version: int | None = None) -> tuple[str, int]:
         """A branch, optionally at a version, or a tag, as (branch, batch)."""
         tag = (
-            self.commits()
-            .where((F.col("branch") == ref) & (F.col("operation") == TAG))
+            self._read_commits([ref])
+            .where(F.col("operation") == TAG)
             .orderBy(F.desc("batch_id"))
             .select("source_branch", "fork_batch")
             .first()
@@ -293,6 +307,3 @@ class EventTable:
 
 def open_table(spark: SparkSession, root: str, spec: TableSpec) -> EventTable:
     return EventTable(spark, root, spec)
-
-
-__all__ = ["ADD", "APPEND", "EventTable", "Layer", "MAIN", "NoSuchVersion", "REPLACE", "open_table"]

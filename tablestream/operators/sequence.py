@@ -67,7 +67,7 @@ def with_previous(
     along = Window.partitionBy(*key, "_slice").orderBy(*order)
     out = rows.unionByName(tails, allowMissingColumns=True)
     return (
-        out.withColumns({name: F.lag(c).over(along) for c, name in previous.items()})
+        out.withColumns({name: F.lag(c).over(along) for name, c in previous.items()})
         .where(~F.col("_carried"))
         .drop("_slice", "_carried")
     )

@@ -26,7 +26,7 @@ from tablestream.schemas import (
     pick,
     rejects_of,
 )
-from tablestream.streaming.run import keyed_writer, start
+from tablestream.streaming.run import keyed_writer, save_rejects, start
 
 LONG_AGO = datetime(1, 1, 1)
 
@@ -54,11 +54,7 @@ def ingest(
             .persist()
         )
         try:
-            rejects.append(
-                rejected(rows).withColumnRenamed("reject_reason", "reason"),
-                writer=name,
-                writer_batch=batch_id,
-            )
+            save_rejects(rejects, rejected(rows), name, batch_id)
             events.append(accepted(rows), branch, writer=name, writer_batch=batch_id)
         finally:
             rows.unpersist()
@@ -132,13 +128,7 @@ def windowed_sales(
             return
         rows = require(decode_events(batch, fields), "region", reason="no_region").persist()
         try:
-            rejects.append(
-                rejected(rows)
-                .withColumnRenamed("reject_reason", "reason")
-                .withColumn("ingestion_time", at_rest(F.current_timestamp())),
-                writer=name,
-                writer_batch=batch_id,
-            )
+            save_rejects(rejects, rejected(rows), name, batch_id)
             before = sales.high_water_before(name, batch_id, branch) or LONG_AGO
             good = accepted(rows).withColumn("event_timestamp", at_rest("event_timestamp"))
             marked = late.mark_late_against(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablestream.functions.codec import NO_KEY
-from tablestream.operators.changelog import MAIN, open_table
+from tablestream.operators.changelog import MAIN, EventTable, open_table
 from tablestream.schemas import COMMIT_INTERVAL, TableSpec, rejects_of
 
 
@@ -39,6 +39,16 @@ def start(
     return writer.trigger(processingTime=interval).start()
 
 
+def save_rejects(table: EventTable, rows: DataFrame, writer: str, batch_id: int) -> None:
+    """Keep the rows a job could not use; a batch without any commits nothing."""
+    if rows.isEmpty():
+        return
+    stamped = rows.withColumnRenamed("reject_reason", "reason").withColumn(
+        "ingestion_time", F.current_timestamp().cast("timestamp_ntz")
+    )
+    table.append(stamped, writer=writer, writer_batch=batch_id)
+
+
 def keyed_writer(
     spark: SparkSession, root: str, spec: TableSpec, writer: str, branch: str = MAIN
 ) -> Callable[[DataFrame, int], None]:
@@ -55,10 +65,9 @@ def keyed_writer(
             keyed = rows.dropna(subset=list(spec.key))
             without = rows.where(reduce(or_, [F.col(k).isNull() for k in spec.key])).select(
                 F.to_json(F.struct(*batch.columns)).alias("value"),
-                F.lit(NO_KEY).alias("reason"),
-                F.current_timestamp().cast("timestamp_ntz").alias("ingestion_time"),
+                F.lit(NO_KEY).alias("reject_reason"),
             )
-            rejects.append(without, writer=writer, writer_batch=batch_id)
+            save_rejects(rejects, without, writer, batch_id)
             table.append(keyed, branch, writer=writer, writer_batch=batch_id)
         finally:
             rows.unpersist()
