@@ -23,27 +23,32 @@ def decode(messages: DataFrame, fields: T.StructType = ORDER_EVENT, value: str =
     message for one bad field.
     """
     wire = T.StructType(
+        [T.StructField(f"_m_{f.name}", T.StringType()) for f in fields]
+        + [T.StructField("_m_broken", T.StringType())]
+    )
+    names = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in fields]
-        + [T.StructField("_corrupt", T.StringType())]
+        + [T.StructField("_m_broken", T.StringType())]
     )
-    parsed = messages.withColumn(
-        "_m",
-        F.from_json(
-            F.col(value).cast("string"),
-            wire,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
-        ),
+    parsed = F.from_json(
+        F.col(value).cast("string"),
+        names,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_m_broken"},
+    )
+    nothing = F.struct(
+        *[F.lit(None).cast("string").alias(f.name) for f in fields], F.lit("").alias("_m_broken")
     )
-    broken = F.col("_m").isNull() | F.col("_m._corrupt").isNotNull()
     kept = [c for c in messages.columns if c not in fields.fieldNames()]
-    typed = [
-        F.col(f"_m.{f.name}").try_cast(f.dataType).alias(f.name)
-        if not isinstance(f.dataType, T.StringType)
-        else F.col(f"_m.{f.name}").alias(f.name)
-        for f in fields
-    ]
-    return parsed.select(
-        *kept, *typed, F.when(broken, F.lit(BROKEN_TEXT)).alias("reject_reason")
+    # A generator instead of a projection: a filter on its output cannot be
+    # pushed below it, which would parse every message twice.
+    rows = messages.select(
+        *kept, F.inline_outer(F.array(F.coalesce(parsed, nothing).cast(wire)))
+    )
+    typed = [F.col(f"_m_{f.name}").try_cast(f.dataType).alias(f.name) for f in fields]
+    return rows.select(
+        *kept,
+        *typed,
+        F.when(F.col("_m_broken").isNotNull(), F.lit(BROKEN_TEXT)).alias("reject_reason"),
     )
 
 

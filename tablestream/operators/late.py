@@ -120,38 +120,40 @@ def high_water(
     events: DataFrame,
     ts: str = "event_timestamp",
     arrival: str = "_seq",
-    chunk: int = 1 << 16,
-    fan: int = 1 << 16,
+    chunk_bits: int = 16,
+    block_bits: int = 16,
 ) -> DataFrame:
     """Add ``high_water``: the greatest event time among strictly earlier arrivals.
 
     A running maximum over one global order, in pieces: arrivals fall into
-    chunks of ``chunk`` numbers, chunks into blocks of ``fan`` chunks. Each
-    chunk starts from one carried row with the maximum of all earlier chunks,
-    so no task sees more than a chunk, and the only unpartitioned window runs
-    over blocks: one per ``chunk * fan`` (4e9) arrivals.
+    chunks of ``2**chunk_bits`` numbers, chunks into blocks of ``2**block_bits``
+    chunks. Each chunk starts from one carried row with the maximum of all
+    earlier chunks, so no task sees more than a chunk, and the only
+    unpartitioned window runs over blocks: one per 4e9 arrivals.
     """
-    chunked = events.withColumn("_chunk", F.floor(F.col(arrival) / F.lit(chunk)))
+    number = F.col(arrival).cast("long")
+    chunked = events.withColumn("_chunk", F.shiftright(number, chunk_bits))
     chunks = (
         chunked.groupBy("_chunk")
         .agg(F.max(ts).alias("_max"))
-        .withColumn("_block", F.floor(F.col("_chunk") / F.lit(fan)))
+        .withColumn("_block", F.shiftright("_chunk", block_bits))
     )
     before = (Window.unboundedPreceding, -1)
+    over_blocks = Window.orderBy("_block").rowsBetween(*before)
     blocks = (
         chunks.groupBy("_block")
         .agg(F.max("_max").alias("_max"))
-        .select(
-            "_block", F.max("_max").over(Window.orderBy("_block").rowsBetween(*before)).alias("_blocks")
-        )
+        .select("_block", F.max("_max").over(over_blocks).alias("_blocks"))
     )
     within = Window.partitionBy("_block").orderBy("_chunk").rowsBetween(*before)
+    first_number = F.shiftleft(F.col("_chunk"), chunk_bits)
     carried = (
         chunks.withColumn("_chunks", F.max("_max").over(within))
-        .join(blocks, "_block")
+        # Every block is there; an outer join lets both sides share one scan.
+        .join(blocks, "_block", "left")
         .select(
             "_chunk",
-            (F.col("_chunk") * F.lit(chunk) - 1).cast(events.schema[arrival].dataType).alias(arrival),
+            (first_number - 1).cast(events.schema[arrival].dataType).alias(arrival),
             F.greatest("_chunks", "_blocks").alias(ts),
             F.lit(True).alias("_carried"),
         )
@@ -169,4 +171,3 @@ def high_water(
         .where(~F.col("_carried"))
         .drop("_chunk", "_carried")
     )
-

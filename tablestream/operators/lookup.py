@@ -12,10 +12,11 @@ BROADCAST_BYTES = 64 << 20
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` is proven to fit a broadcast; reads at most ``rows + 1`` rows."""
-    text_size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    n, width = df.limit(rows + 1).agg(F.count(F.lit(1)), text_size).first()
-    return n <= rows and (width or 0) <= size
+    """Whether ``df`` is proven to fit a broadcast, by rows and then by bytes."""
+    if df.count() > rows:
+        return False
+    width = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0]
+    return (width or 0) <= size
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: Sequence[str] | str, salts: int = 1) -> DataFrame:

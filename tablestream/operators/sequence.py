@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablestream.session import settle
+
 HOT_ROWS = 1_000_000
 HOT_KEYS = 10_000
 
@@ -40,13 +44,15 @@ def with_previous(
     the result, so the list of hot keys may be bounded and broadcast.
     """
     key, order = list(key), list(order)
-    hot = hot_keys(df, key, hot_rows)
-    tag = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in key], F.lit(True).alias("_hot")))
-    same = None
-    for k in key:
-        eq = F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-        same = eq if same is None else same & eq
+    # Written once: both sides below read it, and an empty list needs neither.
+    hot = settle(hot_keys(df, key, hot_rows), "hot-keys")
+    if hot.isEmpty():
+        along = Window.partitionBy(*key).orderBy(*order)
+        return df.withColumns({name: F.lag(c).over(along) for name, c in previous.items()})
+
     helpers = [f"_hot_{k}" for k in key]
+    tag = F.broadcast(hot.toDF(*helpers).withColumn("_hot", F.lit(True)))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in key])
     values = list(dict.fromkeys([*order, *previous.values()]))
 
     tails = (
@@ -65,9 +71,9 @@ def with_previous(
         .drop("_hot", *helpers)
     )
     along = Window.partitionBy(*key, "_slice").orderBy(*order)
-    out = rows.unionByName(tails, allowMissingColumns=True)
     return (
-        out.withColumns({name: F.lag(c).over(along) for name, c in previous.items()})
+        rows.unionByName(tails, allowMissingColumns=True)
+        .withColumns({name: F.lag(c).over(along) for name, c in previous.items()})
         .where(~F.col("_carried"))
         .drop("_slice", "_carried")
     )
