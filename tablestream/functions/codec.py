@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tablestream.functions.times import parse_event_time
 from tablestream.schemas import ORDER_EVENT
 
+BROKEN = "_broken"
 BROKEN_TEXT = "broken_text"
 NO_EVENT_TIME = "no_event_time"
 NO_KEY = "no_key"
@@ -23,32 +24,31 @@ def decode(messages: DataFrame, fields: T.StructType = ORDER_EVENT, value: str =
     message for one bad field.
     """
     wire = T.StructType(
-        [T.StructField(f"_m_{f.name}", T.StringType()) for f in fields]
-        + [T.StructField("_m_broken", T.StringType())]
-    )
-    names = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in fields]
-        + [T.StructField("_m_broken", T.StringType())]
+        + [T.StructField(BROKEN, T.StringType())]
     )
     parsed = F.from_json(
         F.col(value).cast("string"),
-        names,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_m_broken"},
+        wire,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN},
     )
     nothing = F.struct(
-        *[F.lit(None).cast("string").alias(f.name) for f in fields], F.lit("").alias("_m_broken")
+        *[F.lit(None).cast("string").alias(f.name) for f in fields], F.lit("").alias(BROKEN)
     )
     kept = [c for c in messages.columns if c not in fields.fieldNames()]
     # A generator instead of a projection: a filter on its output cannot be
     # pushed below it, which would parse every message twice.
-    rows = messages.select(
-        *kept, F.inline_outer(F.array(F.coalesce(parsed, nothing).cast(wire)))
-    )
-    typed = [F.col(f"_m_{f.name}").try_cast(f.dataType).alias(f.name) for f in fields]
+    rows = messages.select(*kept, F.inline_outer(F.array(F.coalesce(parsed, nothing))))
+    typed = [
+        F.col(f.name)
+        if isinstance(f.dataType, T.StringType)
+        else F.col(f.name).try_cast(f.dataType).alias(f.name)
+        for f in fields
+    ]
     return rows.select(
         *kept,
         *typed,
-        F.when(F.col("_m_broken").isNotNull(), F.lit(BROKEN_TEXT)).alias("reject_reason"),
+        F.when(F.col(BROKEN).isNotNull(), F.lit(BROKEN_TEXT)).alias("reject_reason"),
     )
 
 

@@ -71,13 +71,15 @@ class EventTable:
         return reader.parquet(*newest)
 
     def _children(self, folder: str) -> list[str]:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        files = path.getFileSystem(conf)
+        path, files = self._file_system(folder)
         if not files.exists(path):
             return []
         return [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
 
+    def _file_system(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def latest_version(self, branch: str = MAIN) -> int:
         """The newest committed batch of ``branch``; fails if there is none."""
         head = self.versions(branch).agg(F.max("batch_id")).first()[0]
@@ -104,6 +106,13 @@ class EventTable:
 
     # -- writing -----------------------------------------------------------
 
+    def create(self) -> bool:
+        """Commit an empty first version, unless the table has one."""
+        if not self.versions().isEmpty():
+            return False
+        self.append(self.spark.createDataFrame([], self.spec.schema))
+        return True
+
     def append(
         self,
         rows: DataFrame,
@@ -205,6 +214,20 @@ class EventTable:
         self._commit(tag, at, TAG, rows=0, fork_batch=at, source_branch=branch)
         return at
 
+    def delete_ref(self, ref: str) -> None:
+        """Forget a tag or a branch, with the branch's own rows."""
+        if ref == MAIN:
+            raise ValueError(f"{MAIN} cannot be deleted")
+        users = self.commits().where((F.col("source_branch") == ref) & (F.col("branch") != ref))
+        if not users.isEmpty():
+            raise ValueError(f"{ref} is the source of another branch or tag")
+        if not self._children(f"commits/{ref}"):
+            raise NoSuchVersion(f"{self.spec.name} has no branch or tag {ref}")
+        # The commits go first: without them the rows are out of sight.
+        for folder in (f"commits/{ref}", f"changes/branch={ref}"):
+            path, files = self._file_system(folder)
+            files.delete(path, True)
+
     def refs(self) -> DataFrame:
         """Branches and tags with the batch each points at."""
         named = self.commits().groupBy("branch").agg(

@@ -43,6 +43,14 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _run(stream: DataFrame, write, name: str, root: str, mode: str = "append") -> None:
+    """Work off a stateful query with one state partition per core."""
+    cores = stream.sparkSession.sparkContext.defaultParallelism
+    _finish(
+        start(stream, write, name, f"{root}/progress", mode, interval=None, state_partitions=cores)
+    )
+
+
 def _finish(query) -> None:
     query.awaitTermination()
     if query.exception():
@@ -72,7 +80,7 @@ def products_sold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = with_watermark(events_stream(spark, sf_dir), delay=OUT_OF_ORDER)
     sold = distinct_orders(events, "event_timestamp", "event_type", "user_id", HOURLY)
     write = keyed_writer(spark, root, SOLD_BY_TYPE, "users_by_hour")
-    _finish(start(sold, write, "users_by_hour", f"{root}/progress", interval=None))
+    _run(sold, write, "users_by_hour", root)
     return open_table(spark, root, SOLD_BY_TYPE).read()
 
 
@@ -97,7 +105,7 @@ def sales_update_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.withColumnRenamed("event_type", "region"), "event_timestamp", amount="value", size=HOURLY
     )
     write = keyed_writer(spark, root, SALES_STATE, "sales_state")
-    _finish(start(sales, write, "sales_state", f"{root}/progress", mode="update", interval=None))
+    _run(sales, write, "sales_state", root, mode="update")
     state = open_table(spark, root, SALES_STATE).read()
     return state.withColumn("total_sales", F.col("total_sales").cast("double"))
 
@@ -252,5 +260,5 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = events.unionByName(events)
     once = quality.deduplicate_stream(twice, ["event_id"], "event_timestamp", "5 seconds")
     write = keyed_writer(spark, root, DEDUPED, "first_events")
-    _finish(start(once, write, "first_events", f"{root}/progress", interval=None))
+    _run(once, write, "first_events", root)
     return open_table(spark, root, DEDUPED).changes().select("event_id", "event_type", "value")

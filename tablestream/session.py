@@ -24,6 +24,14 @@ SETTINGS = {
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+#: Added outside local mode: window state of a busy stream outgrows the heap.
+CLUSTER_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def build_session(
     app: str = "tablestream",
@@ -35,6 +43,8 @@ def build_session(
     if master:
         builder = builder.master(master)
     settings = dict(SETTINGS)
+    if not (master or "").startswith("local"):
+        settings.update(CLUSTER_SETTINGS)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(extra or {})

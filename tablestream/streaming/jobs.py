@@ -70,6 +70,7 @@ def products_sold(
     interval: str | None = COMMIT_INTERVAL,
     name: str = "products_sold",
     size: str = WINDOW_SIZE,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Distinct orders per window and product, once per closed window."""
     fields = pick(ORDER_EVENT, "order_id", "product_id", "event_time")
@@ -78,7 +79,9 @@ def products_sold(
     )
     sold = windows.distinct_orders(windows.with_watermark(events, delay=OUT_OF_ORDER), size=size)
     write = keyed_writer(messages.sparkSession, root, PRODUCTS_SOLD, name, branch)
-    return start(sold, write, name, checkpoint, interval=interval)
+    return start(
+        sold, write, name, checkpoint, interval=interval, state_partitions=state_partitions
+    )
 
 
 def regional_orders(

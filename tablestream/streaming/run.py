@@ -22,12 +22,16 @@ def start(
     checkpoint: str,
     mode: str = "append",
     interval: str | None = COMMIT_INTERVAL,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Run ``write(batch, batch_id)`` per micro-batch.
 
     ``interval`` None works off what is there and stops. The checkpoint and the
     writer's own batch number together make each batch count exactly once.
+    ``state_partitions`` spreads keyed state over that many tasks; the first run
+    fixes it for the life of the checkpoint, so choose it for the load to come.
     """
+    spark = stream.sparkSession
     writer = (
         stream.writeStream.queryName(name)
         .outputMode(mode)
@@ -35,8 +39,16 @@ def start(
         .foreachBatch(lambda batch, batch_id: write(batch, batch_id) and None)
     )
     if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=interval)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # A query takes over the session's settings when it starts.
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def save_rejects(table: EventTable, rows: DataFrame, writer: str, batch_id: int) -> None:
