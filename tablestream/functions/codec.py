@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,13 +62,7 @@ def decode_events(
     rows = decode(messages, fields, value).withColumn(
         "event_timestamp", parse_event_time("event_time")
     )
-    return rows.withColumn(
-        "reject_reason",
-        F.coalesce(
-            F.col("reject_reason"),
-            F.when(F.col("event_timestamp").isNull(), F.lit(NO_EVENT_TIME)),
-        ),
-    )
+    return require(rows, "event_timestamp", reason=NO_EVENT_TIME)
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
@@ -77,12 +74,14 @@ def rejected(decoded: DataFrame) -> DataFrame:
 
 
 def require(decoded: DataFrame, *columns: str, reason: str = NO_KEY) -> DataFrame:
-    """Mark rows that lack one of ``columns``, unless already marked."""
-    missing = F.lit(False)
-    for c in columns:
-        missing = missing | F.col(c).isNull()
+    """Mark rows that lack one of ``columns``."""
+    return mark(decoded, reduce(or_, [F.col(c).isNull() for c in columns]), reason)
+
+
+def mark(decoded: DataFrame, unusable: Column, reason: str) -> DataFrame:
+    """Give unusable rows a reason, unless they have one."""
     return decoded.withColumn(
-        "reject_reason", F.coalesce(F.col("reject_reason"), F.when(missing, F.lit(reason)))
+        "reject_reason", F.coalesce(F.col("reject_reason"), F.when(unusable, F.lit(reason)))
     )
 
 

@@ -281,15 +281,19 @@ class EventTable:
             branch, upto = start["source_branch"], start["fork_batch"]
         return found[::-1]
 
-    def layer_changes(self, layer: Layer) -> DataFrame:
-        """Committed changes of one layer, with their ``batch_id``."""
+    def layer_changes(self, layer: Layer, rewrites: bool = True) -> DataFrame:
+        """Committed changes of one layer, with their ``batch_id``.
+
+        ``rewrites`` False leaves out compacted bases: they move rows, and a
+        question about what changed must not count them.
+        """
         ids = [
             r[0]
             for r in self.versions(layer.branch)
             .where(
                 (F.col("batch_id") > layer.after)
                 & (F.col("batch_id") <= layer.upto)
-                & (F.col("operation") != FORK)
+                & F.col("operation").isin(ADD, *([REPLACE] if rewrites else []))
             )
             .select("batch_id")
             .collect()  # batch numbers since the last compaction, not data

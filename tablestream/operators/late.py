@@ -12,7 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablestream.functions.money import exact_sum
-from tablestream.functions.times import earlier, tumble
+from tablestream.functions.times import (
+    earlier,
+    floor_micros,
+    micros,
+    span_micros,
+    tumble,
+)
 from tablestream.schemas import GRACE, WINDOW_SIZE
 from tablestream.session import settle
 
@@ -20,7 +26,8 @@ from tablestream.session import settle
 def closing_arrivals(
     events: DataFrame, ts: str, arrival: str, size: str = WINDOW_SIZE, grace: str = GRACE
 ) -> DataFrame:
-    """``window_end``, ``closed_at``: the first arrival that closed the window.
+    """``_end``, ``closed_at``: the first arrival that closed the window ending
+    at ``_end`` microseconds.
 
     A row closes every window that ends at or before ``ts - grace``, so only the
     last such end matters: the closing arrival of a window is the smallest
@@ -28,30 +35,34 @@ def closing_arrivals(
     (window, end they reach) before any shuffle; what is left grows with the
     time span and not with the number of rows.
     """
+    end, reach = F.col("_end"), F.col("_reach")
+    when = micros(ts)
     reached = (
-        tumble(events.select(ts, arrival), ts, size)
-        .withColumn("_reach", F.window(earlier(ts, grace), size))
-        .groupBy("window_end", F.col("_reach.start").alias("_reach"))
+        events.where(F.col(ts).isNotNull())
+        .select(
+            (floor_micros(when, size) + span_micros(size)).alias("_end"),
+            floor_micros(when - span_micros(grace), size).alias("_reach"),
+            arrival,
+        )
+        .groupBy("_end", "_reach")
         .agg(F.min(arrival).alias("_first"))
     )
+    no_arrival = F.lit(None).cast(events.schema[arrival].dataType)
     ends = (
         reached.select(
             F.inline(
                 F.array(
-                    F.struct(
-                        F.col("window_end").alias("window_end"),
-                        F.lit(None).cast(events.schema[arrival].dataType).alias("_first"),
-                    ),
-                    F.struct(F.col("_reach").alias("window_end"), F.col("_first").alias("_first")),
+                    F.struct(end.alias("_end"), no_arrival.alias("_first")),
+                    F.struct(reach.alias("_end"), F.col("_first").alias("_first")),
                 )
             )
         )
-        .groupBy("window_end")
+        .groupBy("_end")
         .agg(F.min("_first").alias("_first"))
-        .withColumn("_day", F.to_date("window_end"))
+        .withColumn("_day", F.date_from_unix_date((end / span_micros("1 day")).cast("int")))
     )
     # Suffix minimum in two levels: within a day in parallel, then over days.
-    from_here_on = Window.partitionBy("_day").orderBy(F.desc("window_end"))
+    from_here_on = Window.partitionBy("_day").orderBy(F.desc("_end"))
     later_days = Window.orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
     days = (
         ends.groupBy("_day")
@@ -61,7 +72,7 @@ def closing_arrivals(
     return (
         ends.withColumn("_same_day", F.min("_first").over(from_here_on))
         .join(days, "_day")
-        .select("window_end", F.least("_same_day", "_later").alias("closed_at"))
+        .select("_end", F.least("_same_day", "_later").alias("closed_at"))
         .where(F.col("closed_at").isNotNull())
     )
 
@@ -79,12 +90,15 @@ def mark_late(
     size: it is broadcast if it is small and the rows are not moved at all.
     """
     closings = settle(closing_arrivals(events, ts, arrival, size, grace), "closings")
-    return (
-        tumble(events, ts, size)
-        .join(closings, "window_end", "left")
+    end = floor_micros(micros(ts), size) + span_micros(size)
+    joined = (
+        events.where(F.col(ts).isNotNull())
+        .withColumn("_end", end)
+        .join(closings, "_end", "left")
         .withColumn("is_late", F.coalesce(F.col(arrival) > F.col("closed_at"), F.lit(False)))
-        .drop("closed_at")
+        .drop("_end", "closed_at")
     )
+    return tumble(joined, ts, size)
 
 
 def mark_late_against(

@@ -37,11 +37,9 @@ def diff(table: EventTable, branch: str, into: str = MAIN) -> DataFrame:
     forked_at, fork_batch, source = _fork(table, branch)
     if source != into:
         raise PublishRefused(f"{branch} was forked from {source}, not {into}")
-    ours = table.layer_changes(Layer(branch, forked_at, table.latest_version(branch)))
-    theirs = table.layer_changes(Layer(into, fork_batch, table.latest_version(into)))
-    # A compaction moves rows without changing them: it is no change of the key.
-    rewrites = table.versions(into).where(F.col("operation") == "replace").select("batch_id")
-    theirs = theirs.join(F.broadcast(rewrites), "batch_id", "left_anti")
+    ours = Layer(branch, forked_at, table.latest_version(branch))
+    theirs = Layer(into, fork_batch, table.latest_version(into))
+    ours, theirs = (table.layer_changes(x, rewrites=False) for x in (ours, theirs))
     return keyed.branch_diff(ours, theirs, table.spec.key, fork_batch)
 
 

@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablestream.functions.codec import accepted, decode, decode_events, rejected, require
+from tablestream.functions.codec import (
+    accepted,
+    decode,
+    decode_events,
+    mark,
+    rejected,
+    require,
+)
+from tablestream.functions.money import is_countable
 from tablestream.functions.times import at_rest, parse_event_time
 from tablestream.operators import late, lookup, windows
 from tablestream.operators.changelog import MAIN, open_table
@@ -28,6 +36,8 @@ from tablestream.schemas import (
 )
 from tablestream.streaming.run import keyed_writer, save_rejects, start
 
+NO_REGION = "no_region"
+BAD_AMOUNT = "bad_amount"
 LONG_AGO = datetime(1, 1, 1)
 
 
@@ -129,7 +139,9 @@ def windowed_sales(
     def write(batch: DataFrame, batch_id: int) -> None:
         if sales.committed(name, batch_id, branch):
             return
-        rows = require(decode_events(batch, fields), "region", reason="no_region").persist()
+        rows = require(decode_events(batch, fields), "region", reason=NO_REGION)
+        uncountable = F.col("total_amount").isNotNull() & ~is_countable("total_amount")
+        rows = mark(rows, uncountable, BAD_AMOUNT).persist()
         try:
             save_rejects(rejects, rejected(rows), name, batch_id)
             before = sales.high_water_before(name, batch_id, branch) or LONG_AGO

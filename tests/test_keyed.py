@@ -153,6 +153,14 @@ def test_compaction_of_the_target_is_no_conflict(forked):
     assert rows_of(forked.read()) == [("a", 9), ("b", 5)]
 
 
+def test_compaction_of_the_branch_publishes_only_its_changes(forked):
+    compact(forked, "dev")
+    assert rows_of(diff(forked, "dev"), "event_id", "value", "change") == [("a", 9, "upsert")]
+    publish(forked, "dev")
+    assert rows_of(forked.read()) == [("a", 9), ("b", 5)]
+    assert rows_of(forked.read("dev")) == [("a", 9), ("b", 5)]
+
+
 def test_delete_is_published(spark, forked):
     forked.append(batch(spark, [(0, "a", None)]).withColumn("_op", F.lit("D")), "dev")
     assert rows_of(diff(forked, "dev"), "event_id", "change") == [("a", "delete")]

@@ -95,11 +95,21 @@ def test_allowed_lateness_over_restarts(inbox):
 
 
 def test_windowed_sales_rejects_rows_without_region_or_time(inbox):
-    inbox.send(sale(1, 1.0), sale(2, 2.0, region=None), {"region": "x", "total_amount": 4.0})
+    inbox.send(
+        sale(1, 1.0),
+        sale(2, 2.0, region=None),
+        {"region": "x", "total_amount": 4.0},
+        sale(3, "NaN"),
+        sale(4, None),
+    )
     inbox.run(jobs.windowed_sales)
     assert [str(r.total_sales) for r in inbox.table(WINDOWED_SALES).read().collect()] == ["1.00"]
     rejects = inbox.table(rejects_of("windowed_sales")).read()
-    assert sorted(r.reason for r in rejects.collect()) == ["no_event_time", "no_region"]
+    assert sorted(r.reason for r in rejects.collect()) == [
+        "bad_amount",
+        "no_event_time",
+        "no_region",
+    ]
 
 
 def test_crash_between_the_two_sinks(spark, inbox, monkeypatch):

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tablestream.functions.times import tumble
 from tablestream.operators import late, windows
 from tests.conftest import at, rows_of
 
@@ -41,6 +42,28 @@ def test_sums_are_exact(spark):
     assert [str(r.total_sales) for r in out] == ["100.00"]
 
 
+def test_sums_fail_rather_than_lie(spark):
+    for amount in (float("nan"), 1e14):
+        events = spark.createDataFrame(
+            [(at(1), "us", amount)], "event_timestamp timestamp, region string, total_amount double"
+        )
+        with pytest.raises(Exception, match="counted in cents"):
+            windows.window_sales(events).collect()
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("size", ["1 minute", "1 hour", "7 days", "90 seconds"])
+def test_windows_by_arithmetic_equal_the_built_in(spark, kind, size):
+    df = spark.sql(
+        f"""SELECT CAST(t AS {kind}) AS ts FROM VALUES ('1969-12-31 23:59:59.999999'), ('1970-01-01'),
+        ('2024-02-29 12:34:56.789'), ('1905-06-07 01:02:03'), (NULL) AS v(t)"""
+    )
+    mine = tumble(df, "ts", size).select("ts", "window_start", "window_end")
+    theirs = df.withColumn("w", F.window("ts", size)).select("ts", "w.start", "w.end")
+    assert rows_of(mine) == rows_of(theirs) and mine.count() == 4
+    assert [t for _, t in mine.dtypes] == [t for _, t in theirs.dtypes]
+
+
 ARRIVALS = [(0, 10, 1), (1, 100, 2), (2, 20, 4), (3, 126, 8), (4, 30, 16), (5, 400, 32)]
 SCHEMA = "_seq long, event_timestamp timestamp_ntz, region string, total_amount double"
 
