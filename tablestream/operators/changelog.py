@@ -18,7 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,14 +130,14 @@ class EventTable:
         if done is not None:
             return done
         folder = self._folder(branch, batch_id)
-        self.as_changes(rows).write.mode("overwrite").parquet(folder)
-        # The count comes from the Parquet footers just written.
-        n = self.spark.read.schema(self.change_schema).parquet(folder).count()
+        written = Observation()
+        counted = self.as_changes(rows).observe(written, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(folder)
         self._commit(
             branch,
             batch_id,
             operation,
-            rows=n,
+            rows=written.get["rows"],
             writer=writer,
             writer_batch=writer_batch,
             high_water=high_water,
@@ -241,46 +241,47 @@ class EventTable:
             "batch_id",
         )
 
-    def resolve(self, ref: str, version: int | None = None) -> tuple[str, int]:
-        """A branch, optionally at a version, or a tag, as (branch, batch)."""
-        tag = (
-            self._read_commits([ref])
-            .where(F.col("operation") == TAG)
-            .orderBy(F.desc("batch_id"))
-            .select("source_branch", "fork_batch")
-            .first()
-        )
-        if tag is not None:
-            return tag[0], tag[1]
-        head = self.latest_version(ref)
-        if version is not None and self.versions(ref).where(F.col("batch_id") == version).isEmpty():
-            raise NoSuchVersion(f"{self.spec.name} has no batch {version} on {ref}")
-        return ref, head if version is None else version
-
-    # -- reading -----------------------------------------------------------
-
-    def layers(self, branch: str = MAIN, version: int | None = None) -> list[Layer]:
-        """What a read of ``branch`` at ``version`` is made of, lowest first."""
-        branch, upto = self.resolve(branch, version)
+    def layers(self, ref: str = MAIN, version: int | None = None) -> list[Layer]:
+        """What a read of a branch (at ``version``) or a tag is made of, lowest first."""
         found: list[Layer] = []
         while True:
-            start = (
-                self.versions(branch)
-                .where((F.col("batch_id") <= upto) & F.col("operation").isin(REPLACE, FORK))
-                .orderBy(F.desc("batch_id"))
-                .select("batch_id", "operation", "fork_batch", "source_branch")
-                .first()
-            )
-            if start is None:
-                found.append(Layer(branch, -1, upto))
+            at = self._position(ref, version)
+            if at["tag"] is not None:
+                ref, version = at["tag"]["source_branch"], at["tag"]["fork_batch"]
+                continue
+            if at["head"] is None:
+                raise NoSuchVersion(f"{self.spec.name} has no committed batch on {ref}")
+            if version is not None and not at["present"]:
+                raise NoSuchVersion(f"{self.spec.name} has no batch {version} on {ref}")
+            upto = at["head"] if version is None else version
+            base = at["base"]
+            if base is None:
+                found.append(Layer(ref, -1, upto))
                 break
-            if start["operation"] == REPLACE:
-                found.append(Layer(branch, start["batch_id"] - 1, upto))
+            if base["operation"] == REPLACE:
+                found.append(Layer(ref, base["batch_id"] - 1, upto))
                 break
-            found.append(Layer(branch, start["batch_id"], upto))
-            branch, upto = start["source_branch"], start["fork_batch"]
+            found.append(Layer(ref, base["batch_id"], upto))
+            ref, version = base["source_branch"], base["fork_batch"]
         return found[::-1]
 
+    def _position(self, ref: str, version: int | None) -> Row:
+        """Where a read of ``ref`` starts and ends, in one pass over its commits."""
+        batch, operation = F.col("batch_id"), F.col("operation")
+        row = F.struct("batch_id", "operation", "fork_batch", "source_branch")
+        seen = F.lit(True) if version is None else batch <= version
+        is_tag = operation == TAG
+        return (
+            self._read_commits([ref])
+            .agg(
+                F.max(F.when(~is_tag, batch)).alias("head"),
+                F.max(F.when(is_tag, row)).alias("tag"),
+                F.max(F.when(operation.isin(REPLACE, FORK) & seen, row)).alias("base"),
+                F.coalesce(F.max(~is_tag & (batch == F.lit(version))), F.lit(False)).alias("present"),
+            )
+            .first()
+        )
+
     def layer_changes(self, layer: Layer, rewrites: bool = True) -> DataFrame:
         """Committed changes of one layer, with their ``batch_id``.
 

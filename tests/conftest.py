@@ -27,7 +27,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
-        4,
+        2,
         {"spark.ui.enabled": "false", "spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,12 +29,20 @@ def batch(spark, rows):
     return spark.createDataFrame(rows, "_seq long, event_id string, value long")
 
 
-@pytest.fixture
-def table(spark, root):
-    t = open_table(spark, root, SPEC)
+@pytest.fixture(scope="module")
+def template(spark, tmp_path_factory):
+    """The table of C6, written once; every test works on a copy."""
+    folder = tmp_path_factory.mktemp("template")
+    t = open_table(spark, str(folder), SPEC)
     for n, rows in enumerate(C6):
         t.append(batch(spark, rows), writer="w", writer_batch=n)
-    return t
+    return folder
+
+
+@pytest.fixture
+def table(spark, template, root):
+    shutil.copytree(template, root, dirs_exist_ok=True)
+    return open_table(spark, root, SPEC)
 
 
 def test_last_change_per_key_wins(table):
