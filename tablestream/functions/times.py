@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,11 @@ def at_rest(ts: Column | str) -> Column:
     return _col(ts).cast("timestamp_ntz")
 
 
+def zoneless(moment: datetime) -> Column:
+    """A stored time as a literal; a plain literal would shift by the host's zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def earlier(ts: Column | str, span: str) -> Column:
     return _col(ts) - F.expr(f"INTERVAL {span}")
 

@@ -15,6 +15,7 @@ leftovers. One writer at a time per table and branch.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablestream.functions.times import zoneless
 from tablestream.operators import keyed
 from tablestream.schemas import COMMIT, KEYED, SUMS, TableSpec
 
@@ -61,20 +63,30 @@ class EventTable:
 
     def _read_commits(self, branches: list[str]) -> DataFrame:
         newest = [
-            f"{self.path}/commits/{b}/{max(folds)}"
+            f"{self.path}/commits/{b}/{fold}"
             for b in branches
-            if (folds := [int(x) for x in self._children(f"commits/{b}")])
+            if (fold := self._newest_fold(b)) is not None
         ]
         if not newest:
             return self.spark.createDataFrame([], COMMIT)
         reader = self.spark.read.schema(COMMIT).option("recursiveFileLookup", "true")
         return reader.parquet(*newest)
 
-    def _children(self, folder: str) -> list[str]:
-        path, files = self._file_system(folder)
-        if not files.exists(path):
+    def _newest_fold(self, branch: str) -> int | None:
+        """The newest fold with a finished commit. A commit is one file, so a
+        writer that died leaves none, and the fold before still has it all."""
+        for fold in sorted(map(int, self._children(f"commits/{branch}")), reverse=True):
+            folder = f"commits/{branch}/{fold}"
+            for entry in self._children(folder):
+                if any(x.endswith(".parquet") for x in self._children(f"{folder}/{entry}", files=True)):
+                    return fold
+        return None
+
+    def _children(self, folder: str, files: bool = False) -> list[str]:
+        path, system = self._file_system(folder)
+        if not system.exists(path):
             return []
-        return [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+        return [s.getPath().getName() for s in system.listStatus(path) if s.isFile() == files]
 
     def _file_system(self, folder: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
@@ -181,16 +193,19 @@ class EventTable:
 
     def _commit(self, branch: str, batch_id: int, operation: str, **values) -> None:
         given = {"branch": branch, "batch_id": batch_id, "operation": operation, **values}
+        mark = given.get("high_water")
+        computed = {
+            "commit_ts": F.current_timestamp(),
+            "high_water": F.lit(None) if mark is None else zoneless(mark),
+        }
         row = self.spark.range(0, 1, 1, 1).select(
             *[
-                F.current_timestamp().cast(f.dataType).alias(f.name)
-                if f.name == "commit_ts"
-                else F.lit(given.get(f.name)).cast(f.dataType).alias(f.name)
+                computed.get(f.name, F.lit(given.get(f.name))).cast(f.dataType).alias(f.name)
                 for f in COMMIT
             ]
         )
         fold = 0 if operation == TAG else max(batch_id, 0) // FOLD
-        if fold and fold not in [int(x) for x in self._children(f"commits/{branch}")]:
+        if fold and self._newest_fold(branch) != fold:
             row = self._read_commits([branch]).unionByName(row).coalesce(1)
         row.write.mode("overwrite").parquet(f"{self.path}/commits/{branch}/{fold}/{batch_id}")
 
@@ -198,6 +213,7 @@ class EventTable:
 
     def create_branch(self, branch: str, source: str = MAIN, at: int | None = None) -> int:
         """Fork ``branch`` from a version of ``source``; copies no data."""
+        _check_name(branch)
         if not self.versions(branch).isEmpty():
             raise ValueError(f"branch {branch} already exists")
         at = self.latest_version(source) if at is None else at
@@ -210,6 +226,7 @@ class EventTable:
 
     def create_tag(self, tag: str, branch: str = MAIN, at: int | None = None) -> int:
         """Name a version. The tag is a row of the commits, not a copy."""
+        _check_name(tag)
         at = self.latest_version(branch) if at is None else at
         self._commit(tag, at, TAG, rows=0, fork_batch=at, source_branch=branch)
         return at
@@ -333,5 +350,11 @@ class EventTable:
         return name
 
 
+def _check_name(ref: str) -> None:
+    """Refs become folder names."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", ref):
+        raise ValueError(f"not a name for a branch or tag: {ref!r}")
+
+
 def open_table(spark: SparkSession, root: str, spec: TableSpec) -> EventTable:
     return EventTable(spark, root, spec)

@@ -17,7 +17,7 @@ from tablestream.functions.codec import (
     require,
 )
 from tablestream.functions.money import is_countable
-from tablestream.functions.times import at_rest, parse_event_time
+from tablestream.functions.times import at_rest, parse_event_time, zoneless
 from tablestream.operators import late, lookup, windows
 from tablestream.operators.changelog import MAIN, open_table
 from tablestream.schemas import (
@@ -146,9 +146,7 @@ def windowed_sales(
             save_rejects(rejects, rejected(rows), name, batch_id)
             before = sales.high_water_before(name, batch_id, branch) or LONG_AGO
             good = accepted(rows).withColumn("event_timestamp", at_rest("event_timestamp"))
-            marked = late.mark_late_against(
-                good, F.lit(before).cast("timestamp_ntz"), size=size, grace=grace
-            )
+            marked = late.mark_late_against(good, zoneless(before), size=size, grace=grace)
             dlq.append(late.dead_letters(marked), branch, writer=name, writer_batch=batch_id)
             reached = good.agg(F.max("event_timestamp")).first()[0]
             sales.append(

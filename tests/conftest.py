@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,6 +11,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tablestream.session import CHECKPOINT_SETTING, build_session  # noqa: E402
 
+# Times without a zone in the tests mean UTC, wherever they run.
+os.environ["TZ"] = os.environ.get("TEST_TZ", "UTC")
+time.tzset()
+
 BASE = datetime(2024, 1, 1)
 
 

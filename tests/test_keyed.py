@@ -1,3 +1,4 @@
+import pathlib
 import shutil
 
 import pytest
@@ -104,6 +105,26 @@ def test_commit_log_folds(spark, root, monkeypatch):
     assert ("a", 7) in rows_of(t.read()) and ("a", 1) in rows_of(t.read(version=1))
 
 
+def test_a_fold_that_was_never_finished_is_not_read(spark, root, monkeypatch):
+    from tablestream.operators import changelog
+
+    monkeypatch.setattr(changelog, "FOLD", 2)
+    t = open_table(spark, root, SPEC)
+    for n in range(2):
+        t.append(batch(spark, [(0, "a", n)]))
+    (pathlib.Path(root) / "t/commits/main/1/2/_temporary/0").mkdir(parents=True)
+    assert rows_of(t.read()) == [("a", 1)]
+    assert t.append(batch(spark, [(0, "b", 2)])) == 2
+    assert rows_of(t.read()) == [("a", 1), ("b", 2)]
+    assert [r.batch_id for r in t.snapshots().collect()] == [2, 1, 0]
+
+
+def test_names_of_refs(table):
+    for name in ("", "a/b", "..", "x y"):
+        with pytest.raises(ValueError):
+            table.create_branch(name)
+
+
 # -- branches -----------------------------------------------------------------
 
 
