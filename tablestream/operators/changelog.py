@@ -336,7 +336,7 @@ class EventTable:
         spec = self.spec
         if spec.kind == KEYED:
             state = keyed.current_state(
-                changes, spec.key, (keyed.LAYER, "batch_id", "_seq"), keep_version=True
+                changes, spec.key, (keyed.LAYER, "batch_id", *spec.order), keep_version=True
             )
             return state.select(*spec.names, *(["_seq"] if with_seq else []))
         if spec.kind == SUMS:

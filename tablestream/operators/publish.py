@@ -40,7 +40,8 @@ def diff(table: EventTable, branch: str, into: str = MAIN) -> DataFrame:
     ours = Layer(branch, forked_at, table.latest_version(branch))
     theirs = Layer(into, fork_batch, table.latest_version(into))
     ours, theirs = (table.layer_changes(x, rewrites=False) for x in (ours, theirs))
-    return keyed.branch_diff(ours, theirs, table.spec.key, fork_batch)
+    order = ("batch_id", *table.spec.order)
+    return keyed.branch_diff(ours, theirs, table.spec.key, fork_batch, order)
 
 
 def publish(table: EventTable, branch: str, into: str = MAIN, expected_head: int | None = None) -> int:

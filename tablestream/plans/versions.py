@@ -157,18 +157,9 @@ LINES_TABLE = TableSpec(
         event_time=TIME,
     ),
     LINE_KEY,
+    order=LINE_ORDER,
 )
 
-#: Stored changes have one arrival number: ship day, then product, then supplier.
-#: Days and suppliers get fixed widths; 2**42 bounds product and supplier together.
-SUPPLIERS = 1 << 18
-
-
-def _with_seq(lines: DataFrame) -> DataFrame:
-    day = F.datediff("event_time", F.lit("1970-01-01").cast("date")).cast("long")
-    seq = (day * (1 << 42)) + F.col("product_id") * SUPPLIERS + F.col("supplier_id")
-    return lines.withColumn("_seq", seq)
-
 
 def _stored(spark: SparkSession, spec: TableSpec) -> EventTable:
     return open_table(spark, fresh_path(spark, spec.name), spec)
@@ -188,7 +179,7 @@ def _years(lines: DataFrame) -> list[DataFrame]:
 @query("K1 K4 K5 S5 M1", f"WITH {CHANGES_SQL} {_latest_sql('changes')}")
 def compacted_equals_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, LINES_TABLE)
-    for n, batch in enumerate(_years(_with_seq(order_lines(spark, sf_dir)))):
+    for n, batch in enumerate(_years(order_lines(spark, sf_dir))):
         stored.append(batch, writer="lines", writer_batch=n)
     compact(stored)
     return stored.read()
@@ -197,7 +188,7 @@ def compacted_equals_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("S7 M1", f"WITH {CHANGES_SQL} {_latest_sql('changes', 'year(event_time) <= 1998')}")
 def version_before_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, LINES_TABLE)
-    for n, batch in enumerate(_years(_with_seq(order_lines(spark, sf_dir)))):
+    for n, batch in enumerate(_years(order_lines(spark, sf_dir))):
         stored.append(batch, writer="lines", writer_batch=n)
     compact(stored)
     return stored.read(version=1)
@@ -228,7 +219,7 @@ def _by_status(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     pending = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), (F.col("o_orderstatus") == "P").alias("pending")
     )
-    lines = _with_seq(order_lines(spark, sf_dir)).join(pending, "order_id")
+    lines = order_lines(spark, sf_dir).join(pending, "order_id")
     return lines.where(~F.col("pending")), lines.where("pending")
 
 

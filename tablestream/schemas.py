@@ -98,6 +98,7 @@ class TableSpec:
 
     ``keyed``: the last change per key wins. ``append``: every row stays.
     ``sums``: rows of one key are partial sums of the ``measures``.
+    ``order`` ranks the changes of one key within a batch.
     """
 
     name: str
@@ -105,6 +106,7 @@ class TableSpec:
     key: tuple[str, ...] = ()
     kind: str = KEYED
     measures: tuple[str, ...] = ()
+    order: tuple[str, ...] = ("_seq",)
 
     @property
     def names(self) -> list[str]:
