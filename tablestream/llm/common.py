@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tablestream.session import pin_utc, settle
 from tablestream.sources.tables import table
 
-__all__ = ["Batches", "annotate", "arrow", "ready", "settle", "table", "text_of"]
+__all__ = ["Batches", "annotate", "arrow", "documents", "ready", "settle", "table", "text_of"]
 
 Batches = Iterable[pa.RecordBatch]
 
@@ -32,6 +32,10 @@ def ready(spark: SparkSession) -> SparkSession:
     return pin_utc(spark)
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(ready(spark), sf_dir, "documents")
+
+
 def text_of(df: DataFrame, column: str = "text"):
     """The text column, null as the empty text."""
     return F.coalesce(df[column].cast("string"), F.lit(""))
