@@ -16,9 +16,8 @@ __all__ = ["Batches", "annotate", "arrow", "documents", "ready", "settle", "tabl
 
 Batches = Iterable[pa.RecordBatch]
 
-#: Rows of an Arrow batch. Texts run to hundreds of kilobytes, so the default of
-#: 10,000 rows could fill a worker.
-BATCH_ROWS = 500
+#: An Arrow batch. Texts run to hundreds of kilobytes, so rows alone are no bound.
+BATCH_ROWS, BATCH_BYTES = 5000, "16m"
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -29,6 +28,7 @@ def ready(spark: SparkSession) -> SparkSession:
     if spark.sparkContext.master.startswith("local"):
         spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return pin_utc(spark)
 
 
