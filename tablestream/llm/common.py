@@ -9,15 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.session import pin_utc, settle
+from tablestream.session import fresh_path, pin_utc, settle
 from tablestream.sources.tables import table
 
-__all__ = ["Batches", "annotate", "arrow", "documents", "ready", "settle", "table", "text_of"]
+__all__ = ["Batches", "Scratch", "annotate", "arrow", "documents", "ready", "settle", "table", "text_of"]
 
 Batches = Iterable[pa.RecordBatch]
 
 #: An Arrow batch. Texts run to hundreds of kilobytes, so rows alone are no bound.
-BATCH_ROWS, BATCH_BYTES = 5000, "16m"
+BATCH_ROWS, BATCH_BYTES = 5000, "4m"
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -36,6 +36,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(ready(spark), sf_dir, "documents")
 
 
+class Scratch:
+    """Tables in the shared folder that a later step of the same work replaces."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[int, str] = {}
+
+    def settle(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(self.spark, label)
+        df.write.parquet(path)
+        held = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(held)] = path
+        return held
+
+    def drop(self, *held: DataFrame) -> None:
+        """Free the space of tables that nothing reads any more."""
+        for df in held:
+            none = self.spark.createDataFrame([], df.schema)
+            none.write.mode("overwrite").parquet(self.paths.pop(id(df)))
+
+
 def text_of(df: DataFrame, column: str = "text"):
     """The text column, null as the empty text."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

@@ -95,7 +95,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return shingles.near_duplicates(docs).select("row.doc_id", "n_shingles", "component_id")
+    return shingles.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_secret_network(spark: SparkSession, sf_dir: str) -> DataFrame:

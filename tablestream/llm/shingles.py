@@ -37,14 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablestream.llm.common import Batches, annotate, arrow, settle
+from tablestream.llm.common import Batches, Scratch, arrow, settle
 from tablestream.llm.graph import components
 
 WORDS = 5
 #: Similarity as a fraction.
 UP, DOWN = 75, 100
-#: Words whose hashes a worker remembers.
-CACHED_WORDS = 1_000_000
 #: Common shingles that the order puts last, at most. It is an order only: results
 #: are the same whatever it holds.
 COMMON = 200_000
@@ -53,20 +51,18 @@ OFTEN, SEEN = 12, 2_000_000
 #: Nodes of one block.
 BLOCK = 500
 
-_MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
-
-
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+#: Bits of the filter that keeps texts nobody asks for from being moved, per text
+#: asked for and at most. Beyond that it lets more through; the join decides.
+FILTER_BITS, MOST_BITS = 16, 1 << 24
+#: Postings of one shingle that stay together; more of them are salted.
+RUN = 20_000
 
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_HASHES = WordHashes()
+_MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+#: Odd multipliers for the words of a shingle.
+_PLACE = [np.uint64((2 * k + 1) * int(_MIX[0]) % (1 << 64)) for k in range(1, WORDS + 1)]
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -75,18 +71,57 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words of ``raw``, which white space ends."""
+    space = _SPACE[np.frombuffer(raw, np.uint8)]
+    edges = np.flatnonzero(np.diff(space, prepend=True))
+    start, end = edges[0::2], edges[1::2]
+    length = end - start
+    padded = raw + bytes(8)
+    # Eight bytes from any place on.
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))
+    h = length.astype(np.uint64) * _MIX[0]
+    at, rest, active = start, length, slice(None)
+    while len(at):
+        part = eight[at] & _KEEP[np.minimum(rest, 8)]
+        h[active] = mixed(h[active] + part * _MIX[1] + _MIX[2])
+        more = rest > 8
+        active = np.arange(len(h))[active][more]
+        at, rest = at[more] + 8, rest[more] - 8
+    return start, h
+
+
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """The distinct shingles of each text, ascending.
+
+    Words are lower-cased in A-Z only and separated by ASCII white space; fewer than
+    five words are one shingle, no word is none.
+    """
+    raws = [(t or "").encode() for t in texts]
+    if not raws:
+        return []
+    start, h = word_hashes(b" ".join([*raws, b""]).lower())
+    offsets = np.cumsum([0, *(len(r) + 1 for r in raws)])
+    bounds = np.searchsorted(start, offsets).tolist()
+    full = np.zeros(max(0, len(h) - WORDS + 1), np.uint64)
+    for k in range(WORDS):
+        full += h[k : k + len(full)] * _PLACE[k]
+    full = mixed(full)
+    out = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        if b - a >= WORDS:
+            s = np.sort(full[a : b - WORDS + 1])
+            out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
+        elif b > a:
+            short = sum(h[a + k : a + k + 1] * _PLACE[k] for k in range(b - a))
+            out.append(mixed(short + np.uint64(b - a)))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
+
+
 def shingle_set(text: str | None) -> np.ndarray:
-    """The distinct shingles of a text, ascending: words are lower-cased in A-Z only
-    and separated by ASCII white space; fewer than five words are one shingle."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.array(list(map(_HASHES.__getitem__, words)), np.uint64)
-    size = min(WORDS, len(h))
-    out = np.full(len(h) - size + 1, size, np.uint64)
-    for k in range(size):
-        out = mixed(out * _MIX[0] + h[k : len(h) - size + 1 + k])
-    return np.unique(out)
+    return shingle_sets([text])[0]
 
 
 def node_of(shingles: np.ndarray) -> int | None:
@@ -112,46 +147,73 @@ def prefix_size(n: int) -> int:
     return n - shortest(n) + 1
 
 
-def prepared(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``row`` (all columns of ``docs``), ``node`` and ``n_shingles``."""
-
-    def found(texts: list[str | None]) -> list[list]:
-        sets = [shingle_set(t) for t in texts]
-        return [[node_of(s) for s in sets], [len(s) for s in sets]]
+def prepared(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``id``, ``node``, ``n_shingles``, ``th`` (a hash of the text) and ``often``.
 
-    return annotate(docs, text_col, found, "node bigint, n_shingles bigint")
-
-
-def common_shingles(texts: DataFrame) -> np.ndarray:
-    """Shingles that are frequent somewhere in the corpus, rarest first.
-
-    Every task counts all of its shingles and proposes the frequent ones.
+    ``often`` is null but in one row of each batch of shingles counted: that lists
+    those which are frequent among them.
     """
+    rows = docs.select(
+        docs[id_col].cast("bigint").alias("id"),
+        docs[text_col].cast("string").alias("text"),
+        text_hash(docs[text_col]).alias("th"),
+    )
+    schema = (
+        "id bigint, node bigint, n_shingles bigint, th bigint, "
+        "often array<struct<h: bigint, n: bigint>>"
+    )
 
     def step(batches: Batches) -> Iterator[pa.RecordBatch]:
+        pair = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))
         held: list[np.ndarray] = []
-        size = 0
+        size, late = 0, None
 
-        def flush() -> pa.RecordBatch:
+        def frequent() -> list[dict]:
             h, n = np.unique(np.concatenate(held), return_counts=True)
-            h, n = h[n >= OFTEN], n[n >= OFTEN]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"]
-            )
+            some = n >= OFTEN
+            pairs = zip(h[some].view(np.int64).tolist(), n[some].tolist(), strict=True)
+            return [{"h": a, "n": b} for a, b in pairs]
+
+        def out(batch: pa.RecordBatch, sets: list[np.ndarray], often: list[dict] | None):
+            columns = [
+                batch.column(0),
+                pa.array([node_of(s) for s in sets], pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                batch.column(2),
+                pa.array([None] * (len(sets) - 1) + [often] if sets else [], pair),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["id", "node", "n_shingles", "th", "often"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(shingle_set(text))
-                size += len(held[-1])
-                if size >= SEEN:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
-
-    counts = arrow(texts, step, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+            if late:
+                yield out(*late, None)
+            sets = shingle_sets(batch.column(1).to_pylist())
+            held += sets
+            size += sum(map(len, sets))
+            late = (batch, sets)
+            if size >= SEEN:
+                yield out(*late, frequent())
+                late, held, size = None, [], 0
+        if late:
+            yield out(*late, frequent())
+
+    return arrow(rows, step, schema)
+
+
+def text_hash(text):
+    return F.xxhash64(text.cast("string"))
+
+
+def common_shingles(rows: DataFrame) -> dict[int, int]:
+    """Shingles that are frequent somewhere in the corpus and how often they were
+    counted there, the most frequent last.
+
+    Every task counts all of its shingles and proposes the frequent ones.
+    """
+    proposed = rows.where("often IS NOT NULL").select(F.explode("often").alias("o"))
+    counts = proposed.groupBy("o.h").agg(F.sum("o.n").alias("n"))
     top = counts.orderBy(F.desc("n"), "h").limit(COMMON).collect()
-    return np.array([r["h"] for r in reversed(top)], np.int64).view(np.uint64)
+    return {r["h"]: r["n"] for r in reversed(top)}
 
 
 class Order:
@@ -174,83 +236,86 @@ class Order:
         return np.concatenate([rare, last[: size - len(rare)]])
 
 
-def once(texts: DataFrame) -> DataFrame:
-    """``text``, ``node`` with repeated nodes of a task left out: a text with millions
-    of copies is moved once per task."""
-
-    def step(batches: Batches) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            new = []
-            for node in batch.column(1).to_pylist():
-                new.append(node is not None and node not in seen)
-                seen.add(node)
-            yield batch.filter(pa.array(new, pa.bool_()))
-
-    return arrow(texts.select("text", "node"), step, "text string, node bigint")
-
-
-def postings(texts: DataFrame, common: np.ndarray) -> DataFrame:
-    """``h``, ``node``, ``often`` for each shingle in the prefix of a text."""
+def postings(docs: DataFrame, text_col: str, common: dict[int, int]) -> DataFrame:
+    """``h``, ``node``, ``salt`` for each shingle in the prefix of a text."""
+    listed = np.array(list(common), np.int64).view(np.uint64)
+    parts = np.array([n // RUN + 1 for n in common.values()], np.int64)
+    salted = listed[parts > 1]
 
     def step(batches: Batches) -> Iterator[pa.RecordBatch]:
-        order = Order(common)
-        listed = np.sort(common)
+        order = Order(listed)
+        by_hash = np.argsort(salted)
+        hot, hot_parts = salted[by_hash], parts[parts > 1][by_hash]
         seen: set[int] = set()
         for batch in batches:
             heads, nodes = [], []
-            for text, node in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for shingles in shingle_sets(batch.column(0).to_pylist()):
+                node = node_of(shingles)
                 if node is None or node in seen:
                     continue
                 seen.add(node)
-                head = order.prefix(shingle_set(text))
+                head = order.prefix(shingles)
                 heads.append(head)
                 nodes.append(np.full(len(head), node, np.int64))
             h = np.concatenate(heads) if heads else np.zeros(0, np.uint64)
             node = np.concatenate(nodes) if nodes else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(node), pa.array(np.isin(h, listed))],
-                ["h", "node", "often"],
-            )
+            salt = np.zeros(len(h), np.int32)
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+                salt = np.where(hot[at] == h, 1 + node % hot_parts[at], 0).astype(np.int32)
+            columns = [pa.array(h.view(np.int64)), pa.array(node), pa.array(salt)]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "node", "salt"])
 
-    return arrow(texts.select("text", "node"), step, "h bigint, node bigint, often boolean")
+    texts = docs.select(docs[text_col].cast("string").alias("text"))
+    return arrow(texts, step, "h bigint, node bigint, salt int")
 
 
-def shared(found: DataFrame) -> DataFrame:
-    """Postings (``h``, ``node``) of shingles in the prefix of two nodes or more.
+def runs_of(found: DataFrame) -> DataFrame:
+    """``run``, ``node``, ``leader`` of all runs with two nodes or more.
 
-    Common ones are taken to be shared, and so need not come together: they are
-    salted by their node. The others have short runs.
+    Runs of the same nodes are one run, within a task. A salted run may be shared
+    with other tasks: it keeps its shingle as its name, and a leader in each part.
     """
 
     def step(batches: Batches) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, t) for t in (np.int64, np.int64, bool)]
+        rest = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32)]
+        seen: set[int] = set()
 
-        def kept(h: np.ndarray, node: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
+        def kept(h: np.ndarray, node: np.ndarray, salt: np.ndarray) -> pa.RecordBatch:
             new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1])
-            h, node, often = h[new], node[new], often[new]
-            same = np.zeros(len(h), bool)
-            same[1:] = h[1:] == h[:-1]
-            both = same | often
-            both[:-1] |= same[1:]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(h[both]), pa.array(node[both])], ["h", "node"]
-            )
+            new[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1]) | (salt[1:] != salt[:-1])
+            h, node, salt = h[new], node[new], salt[new]
+            first = np.ones(len(h), bool)
+            first[1:] = (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])
+            at = np.flatnonzero(first)
+            size = np.diff(np.append(at, len(h)))
+            hot = salt[at] > 0
+            with np.errstate(over="ignore"):
+                mark = mixed(node.view(np.uint64) * _MIX[0])
+                name = np.add.reduceat(mark, at) if len(at) else np.zeros(0, np.uint64)
+                name = mixed(name + size.astype(np.uint64)).view(np.int64)
+            name = np.where(hot, h[at], name)
+            wanted = (size > 1) | hot
+            for k in np.flatnonzero(wanted & ~hot).tolist():
+                if name[k] in seen:
+                    wanted[k] = False
+                seen.add(int(name[k]))
+            rows = np.repeat(wanted, size)
+            # Nodes of a run are in order, so its first is its smallest.
+            columns = [np.repeat(name, size)[rows], node[rows], np.repeat(node[at], size)[rows]]
+            return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["run", "node", "leader"])
 
         for batch in batches:
-            got = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            h, node, often = (np.concatenate(x) for x in zip(rest, got, strict=True))
+            got = [c.to_numpy() for c in batch.columns]
+            h, node, salt = (np.concatenate(x) for x in zip(rest, got, strict=True))
             # The last run may go on in the next batch.
             cut = int(np.searchsorted(h, h[-1])) if len(h) else 0
-            yield kept(h[:cut], node[:cut], often[:cut])
-            rest = [h[cut:], node[cut:], often[cut:]]
+            yield kept(h[:cut], node[:cut], salt[:cut])
+            rest = [h[cut:], node[cut:], salt[cut:]]
         yield kept(*rest)
 
-    salt = F.when(F.col("often"), F.pmod(F.xxhash64("node"), F.lit(64))).otherwise(0)
-    dealt = found.withColumn("salt", salt).repartition("h", "salt")
-    ordered = dealt.sortWithinPartitions("h", "node").select("h", "node", "often")
-    return arrow(ordered, step, "h bigint, node bigint")
+    ordered = found.repartition("h", "salt").sortWithinPartitions("h", "salt", "node")
+    return arrow(ordered, step, "run bigint, node bigint, leader bigint")
 
 
 class Lists:
@@ -299,17 +364,13 @@ class Lists:
         return out
 
 
-def _sets(texts: list[str | None]) -> list[np.ndarray]:
-    return [shingle_set(t) for t in texts]
-
-
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def tried(t: pa.Table) -> pa.Table:
     """One leader against a block of its nodes: links (leader, node)."""
     nodes, flags = t.column("node").to_pylist(), t.column("leads").to_pylist()
-    sets = _sets(t.column("text").to_pylist())
+    sets = shingle_sets(t.column("text").to_pylist())
     leader = next((i for i, f in enumerate(flags) if f), None)
     if leader is None:
         return pa.table({"a": [], "b": []}, LINKS)
@@ -326,7 +387,7 @@ def searched(t: pa.Table) -> pa.Table:
     seen: dict[int, int] = {}
     for i, node in enumerate(nodes):
         seen.setdefault(node, i)
-    sets = {i: shingle_set(texts[i]) for i in seen.values()}
+    sets = dict(zip(seen.values(), shingle_sets([texts[i] for i in seen.values()]), strict=True))
     order = sorted(sets, key=lambda i: (len(sets[i]), nodes[i]))
     lists = Lists([sets[i] for i in order])
     root = {c: c for c in comps}
@@ -350,21 +411,14 @@ def searched(t: pa.Table) -> pa.Table:
     return pa.table({"a": [a for a, _ in out], "b": [b for _, b in out]}, LINKS)
 
 
-def joined(rows: DataFrame) -> DataFrame:
-    """``node``, ``root`` for the nodes of ``rows`` (text, node) that link with another."""
-    texts = rows.where("node IS NOT NULL").select("text", "node")
-    common = common_shingles(texts.select("text"))
-    runs = settle(shared(postings(texts, common)), "runs")
+def joined(docs: DataFrame, rows: DataFrame, text_col: str, scratch: Scratch) -> DataFrame:
+    """``node``, ``root`` for the nodes that link with another."""
+    common = common_shingles(rows)
+    runs = scratch.settle(runs_of(postings(docs, text_col, common)), "runs")
 
     # First trials: every node against the smallest leader of its runs.
-    leaders = runs.groupBy("h").agg(F.min("node").alias("leader"))
-    trials = (
-        runs.join(leaders, "h")
-        .where("leader <> node")
-        .groupBy("node")
-        .agg(F.min("leader").alias("leader"))
-    )
-    trials = settle(trials, "trials")
+    trials = runs.where("leader <> node").groupBy("node").agg(F.min("leader").alias("leader"))
+    trials = scratch.settle(trials, "trials")
     sizes = trials.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
     dealt = trials.join(sizes, "leader").select("leader", "node", part, F.lit(False).alias("leads"))
@@ -374,31 +428,34 @@ def joined(rows: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.lit(True).alias("leads"),
     )
-    wanted = settle(dealt.unionByName(heads), "wanted")
+    wanted = scratch.settle(dealt.unionByName(heads), "wanted")
     links = (
-        wanted.join(needed(texts, wanted), "node")
+        with_text(docs, rows, text_col, wanted, scratch)
         .groupBy("leader", "part")
         .applyInArrow(tried, "a bigint, b bigint")
     )
-    links = settle(links, "links")
+    links = scratch.settle(links, "links")
     first = components(links)
 
     # What is left: runs with nodes of several components.
     placed = runs.join(first, "node", "left").select(
-        "h", "node", F.coalesce("root", "node").alias("comp")
+        "run", "node", "leader", F.coalesce("root", "node").alias("comp")
     )
-    placed = settle(placed, "placed")
+    placed = scratch.settle(placed, "placed")
     open_runs = (
-        placed.groupBy("h")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("first"))
+        placed.groupBy("run")
+        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("least"))
         .where("low <> high")
     )
-    left = settle(placed.join(open_runs.select("h", "first"), "h"), "left")
-    ties = left.select(F.col("first").alias("a"), F.col("node").alias("b"))
-    groups = components(ties.unionByName(left.select(F.col("comp").alias("a"), F.col("node").alias("b"))))
-    nodes = left.select("node", "comp").distinct()
-    nodes = nodes.join(groups, "node").select("node", "comp", F.col("root").alias("group"))
-    nodes = settle(nodes, "nodes")
+    left = scratch.settle(placed.join(open_runs.select("run", "least"), "run"), "left")
+    scratch.drop(runs, placed, trials, wanted)
+    if left.isEmpty():
+        return first
+    ties = left.select(F.col("least").alias("a"), F.col("node").alias("b"))
+    same = left.select(F.col("comp").alias("a"), F.col("node").alias("b"))
+    groups = components(ties.unionByName(same))
+    nodes = left.select("node", "comp").distinct().join(groups, "node")
+    nodes = scratch.settle(nodes.select("node", "comp", F.col("root").alias("group")), "nodes")
     # The largest component of a group asks nothing: the others ask it.
     weight = nodes.groupBy("group", "comp").agg(F.count("*").alias("n"))
     largest = weight.groupBy("group").agg(
@@ -416,60 +473,81 @@ def joined(rows: DataFrame) -> DataFrame:
     # A node is in every pair of blocks with its own.
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     dealt = nodes.select("node", "comp", "group", "asks", "part", other)
-    dealt = settle(
-        dealt.select(
-            "node", "comp", "group", "asks",
-            F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-        ),
-        "blocks",
-    )
+    i, j = F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
+    dealt = scratch.settle(dealt.select("node", "comp", "group", "asks", i, j), "blocks")
     more = (
-        dealt.join(needed(texts, dealt), "node")
+        with_text(docs, rows, text_col, dealt, scratch)
         .groupBy("group", "i", "j")
         .applyInArrow(searched, "a bigint, b bigint")
     )
-    return components(settle(links.unionByName(more), "links"))
+    return components(scratch.settle(links.unionByName(more), "links"))
 
 
-def needed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text for each node that is asked for."""
-    nodes = wanted.select("node").distinct()
-    found = once(texts).join(nodes, "node", "left_semi")
-    return found.groupBy("node").agg(F.first("text").alias("text"))
+def with_text(
+    docs: DataFrame, rows: DataFrame, text_col: str, wanted: DataFrame, scratch: Scratch
+) -> DataFrame:
+    """``wanted`` with one text for each node.
+
+    Texts are found by their hash. A bit filter of bounded size, sent to all tasks,
+    keeps most of what is not asked for from being moved, and copies of a text are
+    dropped before they are.
+    """
+    asked = rows.join(wanted.select("node").distinct(), "node", "left_semi")
+    asked = scratch.settle(asked.groupBy("node").agg(F.min("th").alias("th")), "asked")
+    bits = min(MOST_BITS, max(1 << 10, 1 << (FILTER_BITS * asked.count()).bit_length()))
+    word = F.expr(f"CAST(pmod(th, {bits}L) DIV 64 AS INT)")
+    mask = F.expr(f"shiftleft(1L, CAST(pmod(th, 64L) AS INT))")
+    filled = asked.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
+    # At most MOST_BITS / 64 rows of 12 bytes.
+    filled = F.broadcast(scratch.settle(filled, "filter"))
+    texts = docs.select(
+        docs[text_col].cast("string").alias("text"), text_hash(docs[text_col]).alias("th")
+    )
+    some = texts.join(filled, word == F.col("word")).where(
+        F.col("bits").bitwiseAND(mask) != 0
+    )
+    found = some.groupBy("th").agg(F.first("text").alias("text"))
+    return wanted.join(asked, "node").join(found, "th").drop("th")
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``row`` (all columns of ``docs``), ``node``, ``n_shingles``, ``component_id``, ``uid``.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``root``: a row per row of ``docs``.
 
     The component is the smallest id of the documents that links reach, null ids left
-    aside. A null or blank text has no shingles, no node, and is a component by
-    itself; repeated rows are linked. ``uid`` names a row of the table at hand.
+    aside; ``root`` names it also where all its ids are null. A null or blank text has
+    no shingles, no root, and is a component by itself; repeated rows are linked.
+    Other columns are not carried.
     """
-    rows = settle(
-        prepared(docs, text_col).withColumn("uid", F.monotonically_increasing_id()), "documents"
-    )
-    found = joined(rows.select(F.col(f"row.{text_col}").alias("text"), "node"))
-    ids = rows.where("node IS NOT NULL").groupBy("node").agg(F.min(f"row.{id_col}").alias("least"))
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.settle(prepared(docs, text_col, id_col), "shingled")
+    found = joined(docs, rows, text_col, scratch)
+    ids = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
     tied = ids.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    tied = settle(tied, "tied")
+    tied = scratch.settle(tied.select("node", "root", "least"), "tied")
     least = tied.groupBy("root").agg(F.min("least").alias("component"))
-    known = settle(tied.join(least, "root").select("node", "root", "component"), "known")
+    known = scratch.settle(tied.join(least, "root").select("node", "root", "component"), "known")
     out = rows.join(known, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col(f"row.{id_col}")).otherwise(F.col("component"))
+    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select(
-        "row", "node", "root", "n_shingles", component.cast("bigint").alias("component_id"), "uid"
+        F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), "root", "th"
     )
 
 
 def representatives(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component, that with the
-    smallest id (then the first row) stays; rows without shingles all stay."""
-    found = settle(near_duplicates(docs, text_col, id_col), "components")
-    place = F.struct(F.col(f"row.{id_col}").isNull().alias("none"), F.col(f"row.{id_col}"), "uid")
+    """The rows of ``docs`` without near duplicates: of each component one row with
+    the smallest id stays; rows without shingles all stay."""
+    held = settle(docs.withColumn("_uid", F.monotonically_increasing_id()), "documents")
+    found = near_duplicates(held.select(F.col(text_col).alias("t"), F.col("_uid").alias("u")), "t", "u")
+    # Found by row number; which row is first by id is then decided per component.
+    parts = settle(found.select(F.col("doc_id").alias("_uid"), "root"), "parts")
+    ids = held.select("_uid", F.col(id_col).alias("_id"))
+    place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_uid"))
     best = (
-        found.where("root IS NOT NULL").groupBy("root").agg(F.min(place).alias("best"))
-    ).select(F.col("best.uid").alias("best"))
-    kept = found.join(best, found["uid"] == best["best"], "left").where(
-        "root IS NULL OR best IS NOT NULL"
+        parts.where("root IS NOT NULL")
+        .join(ids, "_uid")
+        .groupBy("root")
+        .agg(F.min(place).alias("best"))
+        .select(F.col("best._uid").alias("_uid"))
     )
-    return kept.select("row.*")
+    kept = settle(best.unionByName(parts.where("root IS NULL").select("_uid")), "kept")
+    return held.join(kept, "_uid", "left_semi").drop("_uid")
