@@ -13,15 +13,16 @@ all shingles in one order, two linked nodes share a shingle among the first
 corpus come last in that order, so passages that many documents share do not bring
 those documents together.
 
-1. A *run* is the nodes with one shingle in their prefix. Every node is tried against
-   the smallest node of its runs. That ties large groups of copies together with one
-   trial per node.
-2. Runs with nodes of several components are left. Nodes that hang together through
-   such runs form a group, and a group is searched in blocks: each node outside the
-   group's largest component is a query against all nodes of other components.
-
-No step gathers a run or a group in one task, and no pairs of a group are written
-out: what leaves a task is the links that tie components.
+A *run* is the nodes with one shingle in their prefix. What a run proposes passes a
+second test without loss before any text is moved: the parity of a set's shingles in
+as many bits as it has, where each shingle that only one of two sets has flips a bit.
+
+1. Every node is tried against the smallest node of its runs that passes. That ties
+   large groups of copies together with one trial per node.
+2. In runs with nodes of several components, the nodes outside the run's largest
+   component are held against the others, in blocks.
+
+No step gathers a run in one task. What passes is counted by the search itself.
 """
 
 from __future__ import annotations
@@ -45,9 +46,9 @@ WORDS = 5
 UP, DOWN = 75, 100
 #: Common shingles that the order puts last, at most. It is an order only: results
 #: are the same whatever it holds.
-COMMON = 200_000
+COMMON = 1_000_000
 #: A shingle this often within ``SEEN`` shingles of a task is proposed as common.
-OFTEN, SEEN = 12, 2_000_000
+OFTEN, SEEN = 3, 4_000_000
 #: Nodes of one block.
 BLOCK = 500
 
@@ -124,6 +125,35 @@ def shingle_set(text: str | None) -> np.ndarray:
     return shingle_sets([text])[0]
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """Bit ``h % width`` is set if an odd number of shingles fall on it."""
+    width = max(128, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else 128
+    hits = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((hits & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Parities of a narrower width; the last axis is 64-bit words."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def most_apart(n: int, other):
+    """Shingles that only one of two similar sets can have."""
+    return n + other - 2 * (-(-UP * (n + other) // (UP + DOWN)))
+
+
+def may_link(a: bytes, n: int, b: bytes, other: int) -> bool:
+    if DOWN * min(n, other) < UP * max(n, other):
+        return False
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    words = min(len(x), len(y))
+    apart = np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()
+    return int(apart) <= most_apart(n, other)
+
+
 def node_of(shingles: np.ndarray) -> int | None:
     """A signed 64-bit name of the set; None of the empty one."""
     import xxhash
@@ -148,7 +178,8 @@ def prefix_size(n: int) -> int:
 
 
 def prepared(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``id``, ``node``, ``n_shingles``, ``th`` (a hash of the text) and ``often``.
+    """``id``, ``node``, ``n_shingles``, ``th`` (a hash of the text), ``bits`` (the
+    parities; null for a node that the task has had before) and ``often``.
 
     ``often`` is null but in one row of each batch of shingles counted: that lists
     those which are frequent among them.
@@ -159,7 +190,7 @@ def prepared(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
         text_hash(docs[text_col]).alias("th"),
     )
     schema = (
-        "id bigint, node bigint, n_shingles bigint, th bigint, "
+        "id bigint, node bigint, n_shingles bigint, th bigint, bits binary, "
         "often array<struct<h: bigint, n: bigint>>"
     )
 
@@ -167,6 +198,13 @@ def prepared(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
         pair = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))
         held: list[np.ndarray] = []
         size, late = 0, None
+        seen: set[int] = set()
+
+        def bits_of(node: int | None, shingles: np.ndarray) -> bytes | None:
+            if node is None or node in seen:
+                return None
+            seen.add(node)
+            return parity(shingles)
 
         def frequent() -> list[dict]:
             h, n = np.unique(np.concatenate(held), return_counts=True)
@@ -174,15 +212,19 @@ def prepared(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
             pairs = zip(h[some].view(np.int64).tolist(), n[some].tolist(), strict=True)
             return [{"h": a, "n": b} for a, b in pairs]
 
+        names = ["id", "node", "n_shingles", "th", "bits", "often"]
+
         def out(batch: pa.RecordBatch, sets: list[np.ndarray], often: list[dict] | None):
+            nodes = [node_of(s) for s in sets]
             columns = [
                 batch.column(0),
-                pa.array([node_of(s) for s in sets], pa.int64()),
+                pa.array(nodes, pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 batch.column(2),
+                pa.array(list(map(bits_of, nodes, sets)), pa.binary()),
                 pa.array([None] * (len(sets) - 1) + [often] if sets else [], pair),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["id", "node", "n_shingles", "th", "often"])
+            return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
             if late:
@@ -204,7 +246,7 @@ def text_hash(text):
     return F.xxhash64(text.cast("string"))
 
 
-def common_shingles(rows: DataFrame) -> dict[int, int]:
+def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that are frequent somewhere in the corpus and how often they were
     counted there, the most frequent last.
 
@@ -212,8 +254,8 @@ def common_shingles(rows: DataFrame) -> dict[int, int]:
     """
     proposed = rows.where("often IS NOT NULL").select(F.explode("often").alias("o"))
     counts = proposed.groupBy("o.h").agg(F.sum("o.n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "h").limit(COMMON).collect()
-    return {r["h"]: r["n"] for r in reversed(top)}
+    top = counts.orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
+    return top.column("h").to_numpy()[::-1], top.column("n").to_numpy()[::-1]
 
 
 class Order:
@@ -236,10 +278,10 @@ class Order:
         return np.concatenate([rare, last[: size - len(rare)]])
 
 
-def postings(docs: DataFrame, text_col: str, common: dict[int, int]) -> DataFrame:
+def postings(docs: DataFrame, text_col: str, common: np.ndarray, counts: np.ndarray) -> DataFrame:
     """``h``, ``node``, ``salt`` for each shingle in the prefix of a text."""
-    listed = np.array(list(common), np.int64).view(np.uint64)
-    parts = np.array([n // RUN + 1 for n in common.values()], np.int64)
+    listed = common.view(np.uint64)
+    parts = counts // RUN + 1
     salted = listed[parts > 1]
 
     def step(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -380,111 +422,124 @@ def tried(t: pa.Table) -> pa.Table:
     return pa.table({"a": [nodes[leader]] * len(linked), "b": linked}, LINKS)
 
 
-def searched(t: pa.Table) -> pa.Table:
-    """Queries against the other nodes of two blocks, across components only."""
-    nodes, comps = t.column("node").to_pylist(), t.column("comp").to_pylist()
-    asks, texts = t.column("asks").to_pylist(), t.column("text").to_pylist()
-    seen: dict[int, int] = {}
-    for i, node in enumerate(nodes):
-        seen.setdefault(node, i)
-    sets = dict(zip(seen.values(), shingle_sets([texts[i] for i in seen.values()]), strict=True))
-    order = sorted(sets, key=lambda i: (len(sets[i]), nodes[i]))
-    lists = Lists([sets[i] for i in order])
-    root = {c: c for c in comps}
-
-    def top(c: int) -> int:
-        while root[c] != c:
-            root[c] = root[root[c]]
-            c = root[c]
-        return c
+def passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) of nodes that may link."""
 
-    out = []
-    for i in order:
-        if not asks[i]:
-            continue
-        for hit in lists.search(sets[i]):
-            j = order[hit]
-            x, y = top(comps[i]), top(comps[j])
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                out.append((nodes[i], nodes[j]))
+    def step(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, n, y, m = (c.to_pylist() for c in batch.columns[2:])
+            keep = pa.array(list(map(may_link, x, n, y, m)), pa.bool_())
+            yield batch.select(["a", "b"]).filter(keep)
+
+    def side(name: str) -> DataFrame:
+        return nodes.select(
+            F.col("node").alias(name), F.col("bits").alias(f"{name}_bits"), F.col("n").alias(f"{name}_n")
+        )
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return arrow(
+        both.select("a", "b", "a_bits", "a_n", "b_bits", "b_n"), step, "a bigint, b bigint"
+    )
+
+
+def proposed(t: pa.Table) -> pa.Table:
+    """Pairs of one block of a run that may link, of different components."""
+    node, comp, n = (t.column(c).to_numpy() for c in ("node", "comp", "n"))
+    asks = t.column("asks").to_numpy(zero_copy_only=False)
+    bits = [np.frombuffer(b, "<u8") for b in t.column("bits").to_pylist()]
+    width = np.array([len(b) for b in bits])
+    there = {
+        int(w): (own := np.flatnonzero(~asks & (width == w)), np.stack([bits[i] for i in own]))
+        for w in np.unique(width[~asks])
+    }
+    out: set[tuple[int, int]] = set()
+    for q in np.flatnonzero(asks).tolist():
+        for w, (own, matrix) in there.items():
+            words = min(w, int(width[q]))
+            near = (comp[own] != comp[q]) & (DOWN * np.minimum(n[own], n[q]) >= UP * np.maximum(n[own], n[q]))
+            if not near.any():
+                continue
+            own = own[near]
+            apart = np.bitwise_count(folded(matrix[near], words) ^ folded(bits[q], words)).sum(axis=1)
+            for x in node[own[apart <= most_apart(n[q], n[own])]].tolist():
+                a, b = int(node[q]), x
+                out.add((min(a, b), max(a, b)))
     return pa.table({"a": [a for a, _ in out], "b": [b for _, b in out]}, LINKS)
 
 
-def joined(docs: DataFrame, rows: DataFrame, text_col: str, scratch: Scratch) -> DataFrame:
+def joined(
+    docs: DataFrame, nodes: DataFrame, rows: DataFrame, text_col: str, scratch: Scratch
+) -> DataFrame:
     """``node``, ``root`` for the nodes that link with another."""
-    common = common_shingles(rows)
-    runs = scratch.settle(runs_of(postings(docs, text_col, common)), "runs")
+    common, counts = common_shingles(rows)
+    runs = scratch.settle(runs_of(postings(docs, text_col, common, counts)), "runs")
 
-    # First trials: every node against the smallest leader of its runs.
-    trials = runs.where("leader <> node").groupBy("node").agg(F.min("leader").alias("leader"))
-    trials = scratch.settle(trials, "trials")
-    sizes = trials.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
-    dealt = trials.join(sizes, "leader").select("leader", "node", part, F.lit(False).alias("leads"))
-    heads = sizes.select(
-        "leader",
-        F.col("leader").alias("node"),
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.lit(True).alias("leads"),
-    )
-    wanted = scratch.settle(dealt.unionByName(heads), "wanted")
-    links = (
-        with_text(docs, rows, text_col, wanted, scratch)
-        .groupBy("leader", "part")
-        .applyInArrow(tried, "a bigint, b bigint")
-    )
-    links = scratch.settle(links, "links")
+    # First trials: every node against the smallest leader of its runs that passes.
+    pairs = runs.where("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    trials = passing(pairs.distinct(), nodes).groupBy("b").agg(F.min("a").alias("a"))
+    links = scratch.settle(verified(trials, docs, nodes, text_col, scratch), "links")
     first = components(links)
 
     # What is left: runs with nodes of several components.
-    placed = runs.join(first, "node", "left").select(
-        "run", "node", "leader", F.coalesce("root", "node").alias("comp")
-    )
+    placed = runs.join(first, "node", "left")
+    placed = placed.select("run", "node", F.coalesce("root", "node").alias("comp"))
     placed = scratch.settle(placed, "placed")
+    weight = placed.groupBy("run", "comp").agg(F.count("*").alias("n"))
     open_runs = (
-        placed.groupBy("run")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("least"))
-        .where("low <> high")
+        weight.groupBy("run")
+        .agg(
+            F.max_by("comp", F.struct("n", "comp")).alias("largest"),
+            F.count("*").alias("comps"),
+            F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts"),
+        )
+        .where("comps > 1")
+        .drop("comps")
+    )
+    left = placed.join(open_runs, "run").join(nodes.select("node", "n", "bits"), "node")
+    kept = ["run", "node", "comp", "n", "bits"]
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+    there = left.select(*kept, F.lit(False).alias("asks"), part)
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    ask = left.where("comp <> largest").select(*kept, F.lit(True).alias("asks"), every)
+    more = (
+        there.unionByName(ask)
+        .groupBy("run", "part")
+        .applyInArrow(proposed, "a bigint, b bigint")
+        .distinct()
     )
-    left = scratch.settle(placed.join(open_runs.select("run", "least"), "run"), "left")
-    scratch.drop(runs, placed, trials, wanted)
-    if left.isEmpty():
-        return first
-    ties = left.select(F.col("least").alias("a"), F.col("node").alias("b"))
-    same = left.select(F.col("comp").alias("a"), F.col("node").alias("b"))
-    groups = components(ties.unionByName(same))
-    nodes = left.select("node", "comp").distinct().join(groups, "node")
-    nodes = scratch.settle(nodes.select("node", "comp", F.col("root").alias("group")), "nodes")
-    # The largest component of a group asks nothing: the others ask it.
-    weight = nodes.groupBy("group", "comp").agg(F.count("*").alias("n"))
-    largest = weight.groupBy("group").agg(
-        F.max_by("comp", F.struct("n", "comp")).alias("largest"),
-        F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts"),
+    more = scratch.settle(verified(more, docs, nodes, text_col, scratch), "links")
+    found = components(links.unionByName(more))
+    scratch.drop(runs, placed)
+    return found
+
+
+def verified(
+    pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, scratch: Scratch
+) -> DataFrame:
+    """The pairs (``a``, ``b``) that link: each ``a`` is searched for among its ``b``,
+    in parts of ``BLOCK``."""
+    pairs = scratch.settle(pairs.select("a", "b"), "pairs")
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
+    others = pairs.join(sizes, "a").select(
+        F.col("a").alias("leader"), F.col("b").alias("node"), part, F.lit(False).alias("leads")
     )
-    nodes = nodes.join(largest, "group").select(
-        "node",
-        "comp",
-        "group",
-        "parts",
-        (F.col("comp") != F.col("largest")).alias("asks"),
-        F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"),
+    heads = sizes.select(
+        F.col("a").alias("leader"),
+        F.col("a").alias("node"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(True).alias("leads"),
     )
-    # A node is in every pair of blocks with its own.
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    dealt = nodes.select("node", "comp", "group", "asks", "part", other)
-    i, j = F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
-    dealt = scratch.settle(dealt.select("node", "comp", "group", "asks", i, j), "blocks")
-    more = (
-        with_text(docs, rows, text_col, dealt, scratch)
-        .groupBy("group", "i", "j")
-        .applyInArrow(searched, "a bigint, b bigint")
+    wanted = scratch.settle(others.unionByName(heads), "wanted")
+    return (
+        with_text(docs, nodes, text_col, wanted, scratch)
+        .groupBy("leader", "part")
+        .applyInArrow(tried, "a bigint, b bigint")
     )
-    return components(scratch.settle(links.unionByName(more), "links"))
 
 
 def with_text(
-    docs: DataFrame, rows: DataFrame, text_col: str, wanted: DataFrame, scratch: Scratch
+    docs: DataFrame, nodes: DataFrame, text_col: str, wanted: DataFrame, scratch: Scratch
 ) -> DataFrame:
     """``wanted`` with one text for each node.
 
@@ -492,20 +547,18 @@ def with_text(
     keeps most of what is not asked for from being moved, and copies of a text are
     dropped before they are.
     """
-    asked = rows.join(wanted.select("node").distinct(), "node", "left_semi")
-    asked = scratch.settle(asked.groupBy("node").agg(F.min("th").alias("th")), "asked")
+    asked = nodes.join(wanted.select("node").distinct(), "node", "left_semi")
+    asked = scratch.settle(asked.select("node", "th"), "asked")
     bits = min(MOST_BITS, max(1 << 10, 1 << (FILTER_BITS * asked.count()).bit_length()))
     word = F.expr(f"CAST(pmod(th, {bits}L) DIV 64 AS INT)")
-    mask = F.expr(f"shiftleft(1L, CAST(pmod(th, 64L) AS INT))")
-    filled = asked.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
+    mask = F.expr("shiftleft(1L, CAST(pmod(th, 64L) AS INT))")
+    filled = asked.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("mask"))
     # At most MOST_BITS / 64 rows of 12 bytes.
     filled = F.broadcast(scratch.settle(filled, "filter"))
     texts = docs.select(
         docs[text_col].cast("string").alias("text"), text_hash(docs[text_col]).alias("th")
     )
-    some = texts.join(filled, word == F.col("word")).where(
-        F.col("bits").bitwiseAND(mask) != 0
-    )
+    some = texts.join(filled, word == F.col("word")).where(F.col("mask").bitwiseAND(mask) != 0)
     found = some.groupBy("th").agg(F.first("text").alias("text"))
     return wanted.join(asked, "node").join(found, "th").drop("th")
 
@@ -520,9 +573,15 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     """
     scratch = Scratch(docs.sparkSession)
     rows = scratch.settle(prepared(docs, text_col, id_col), "shingled")
-    found = joined(docs, rows, text_col, scratch)
-    ids = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
-    tied = ids.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
+        F.min("id").alias("least"),
+        F.min("th").alias("th"),
+        F.max("n_shingles").alias("n"),
+        F.first("bits", ignorenulls=True).alias("bits"),
+    )
+    nodes = scratch.settle(nodes, "nodes")
+    found = joined(docs, nodes, rows, text_col, scratch)
+    tied = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     tied = scratch.settle(tied.select("node", "root", "least"), "tied")
     least = tied.groupBy("root").agg(F.min("least").alias("component"))
     known = scratch.settle(tied.join(least, "root").select("node", "root", "component"), "known")
