@@ -20,7 +20,8 @@ as many bits as it has, where each shingle that only one of two sets has flips a
 1. Every node is tried against the smallest node of its runs that passes. That ties
    large groups of copies together with one trial per node.
 2. In runs with nodes of several components, the nodes outside the run's largest
-   component are held against the others, in blocks.
+   component are held against the others, in blocks: twice against the one that is
+   nearest by the bits, then against all that are still of another component.
 
 No step gathers a run in one task. What passes is counted by the search itself.
 """
@@ -442,46 +443,49 @@ def passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def proposed(t: pa.Table) -> pa.Table:
-    """Pairs of one block of a run that may link, of different components."""
-    node, comp, n = (t.column(c).to_numpy() for c in ("node", "comp", "n"))
-    asks = t.column("asks").to_numpy(zero_copy_only=False)
-    bits = [np.frombuffer(b, "<u8") for b in t.column("bits").to_pylist()]
-    width = np.array([len(b) for b in bits])
-    there = {
-        int(w): (own := np.flatnonzero(~asks & (width == w)), np.stack([bits[i] for i in own]))
-        for w in np.unique(width[~asks])
-    }
-    out: set[tuple[int, int]] = set()
-    for q in np.flatnonzero(asks).tolist():
-        for w, (own, matrix) in there.items():
-            words = min(w, int(width[q]))
-            near = (comp[own] != comp[q]) & (DOWN * np.minimum(n[own], n[q]) >= UP * np.maximum(n[own], n[q]))
-            if not near.any():
-                continue
-            own = own[near]
-            apart = np.bitwise_count(folded(matrix[near], words) ^ folded(bits[q], words)).sum(axis=1)
-            for x in node[own[apart <= most_apart(n[q], n[own])]].tolist():
-                a, b = int(node[q]), x
-                out.add((min(a, b), max(a, b)))
-    return pa.table({"a": [a for a, _ in out], "b": [b for _, b in out]}, LINKS)
-
-
-def joined(
-    docs: DataFrame, nodes: DataFrame, rows: DataFrame, text_col: str, scratch: Scratch
+PROPOSALS = pa.schema([("run", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+
+
+def proposed(all_of_them: bool):
+    """Pairs of one block of a run that may link, of different components: all, or for
+    each node that asks the one that is least apart."""
+
+    def block(t: pa.Table) -> pa.Table:
+        node, comp, n = (t.column(c).to_numpy() for c in ("node", "comp", "n"))
+        asks = t.column("asks").to_numpy(zero_copy_only=False)
+        bits = [np.frombuffer(b, "<u8") for b in t.column("bits").to_pylist()]
+        width = np.array([len(b) for b in bits])
+        there = [
+            (own := np.flatnonzero(~asks & (width == w)), np.stack([bits[i] for i in own]))
+            for w in np.unique(width[~asks])
+        ]
+        out: set[tuple[int, int]] = set()
+        for q in np.flatnonzero(asks).tolist():
+            near = []
+            for own, matrix in there:
+                alike = DOWN * np.minimum(n[own], n[q]) >= UP * np.maximum(n[own], n[q])
+                some = (comp[own] != comp[q]) & alike
+                if not some.any():
+                    continue
+                own, words = own[some], min(matrix.shape[1], len(bits[q]))
+                apart = folded(matrix[some], words) ^ folded(bits[q], words)
+                apart = np.bitwise_count(apart).sum(axis=1).astype(np.int64)
+                good = apart <= most_apart(n[q], n[own])
+                near += zip(apart[good].tolist(), node[own[good]].tolist(), strict=True)
+            for _, x in near if all_of_them else [min(near)] if near else []:
+                out.add((min(int(node[q]), x), max(int(node[q]), x)))
+        run = t.column("run")[0].as_py() if t.num_rows else 0
+        pairs = {"a": [a for a, _ in out], "b": [b for _, b in out]}
+        return pa.table({"run": [run] * len(out)} | pairs, PROPOSALS)
+
+    return block
+
+
+def proposals(
+    runs: DataFrame, found: DataFrame, nodes: DataFrame, all_of_them: bool, scratch: Scratch
 ) -> DataFrame:
-    """``node``, ``root`` for the nodes that link with another."""
-    common, counts = common_shingles(rows)
-    runs = scratch.settle(runs_of(postings(docs, text_col, common, counts)), "runs")
-
-    # First trials: every node against the smallest leader of its runs that passes.
-    pairs = runs.where("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    trials = passing(pairs.distinct(), nodes).groupBy("b").agg(F.min("a").alias("a"))
-    links = scratch.settle(verified(trials, docs, nodes, text_col, scratch), "links")
-    first = components(links)
-
-    # What is left: runs with nodes of several components.
-    placed = runs.join(first, "node", "left")
+    """``run``, ``a``, ``b``: pairs to try in runs with nodes of several components."""
+    placed = runs.join(found, "node", "left")
     placed = placed.select("run", "node", F.coalesce("root", "node").alias("comp"))
     placed = scratch.settle(placed, "placed")
     weight = placed.groupBy("run", "comp").agg(F.count("*").alias("n"))
@@ -501,15 +505,36 @@ def joined(
     there = left.select(*kept, F.lit(False).alias("asks"), part)
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     ask = left.where("comp <> largest").select(*kept, F.lit(True).alias("asks"), every)
-    more = (
+    found = (
         there.unionByName(ask)
         .groupBy("run", "part")
-        .applyInArrow(proposed, "a bigint, b bigint")
-        .distinct()
+        .applyInArrow(proposed(all_of_them), "run bigint, a bigint, b bigint")
     )
-    more = scratch.settle(verified(more, docs, nodes, text_col, scratch), "links")
-    found = components(links.unionByName(more))
-    scratch.drop(runs, placed)
+    out = scratch.settle(found, "proposals")
+    scratch.drop(placed)
+    return out
+
+
+def joined(
+    docs: DataFrame, nodes: DataFrame, rows: DataFrame, text_col: str, scratch: Scratch
+) -> DataFrame:
+    """``node``, ``root`` for the nodes that link with another."""
+    common, counts = common_shingles(rows)
+    runs = scratch.settle(runs_of(postings(docs, text_col, common, counts)), "runs")
+
+    # First trials: every node against the smallest leader of its runs that passes.
+    pairs = runs.where("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    trials = passing(pairs.distinct(), nodes).groupBy("b").agg(F.min("a").alias("a"))
+    found = components(verified(trials, docs, nodes, text_col, scratch))
+
+    # Twice the nearest node of another component, then every one that is left.
+    for all_of_them in (False, False, True):
+        more = proposals(runs, found, nodes, all_of_them, scratch)
+        links = verified(more.select("a", "b").distinct(), docs, nodes, text_col, scratch)
+        tied = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        found = components(tied.unionByName(links))
+        # Where nothing passes now, nothing will: components only grow.
+        runs = runs.join(more.select("run").distinct(), "run", "left_semi")
     return found
 
 
