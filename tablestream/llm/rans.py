@@ -148,7 +148,7 @@ def blocks_of(content: bytes) -> Iterator[memoryview]:
         at = end + 1
 
 
-def decode_block(block: bytes, table: Table) -> tuple[int, int, np.ndarray, np.ndarray]:
+def decode_block(block: bytes | memoryview, table: Table) -> tuple[int, int, np.ndarray, np.ndarray]:
     """Part, number, document heads and ids of a block, with all checksums tested."""
     _, part, number, n_docs, n_segments, _, crc = HEAD.unpack_from(block)
     body = memoryview(block)[HEAD.size :]
@@ -286,18 +286,11 @@ def read(spark: SparkSession, target: str) -> DataFrame:
     ids = np.array([k[0] for k in kept], np.int64)
     weights = np.array([k[1] for k in kept], np.int64)
 
-    def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0).to_pylist():
-                for block in blocks_of(content):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([bytes(block)], pa.binary())], ["block"]
-                    )
-
     def decode(batches: Batches) -> Iterator[pa.RecordBatch]:
         table = Table(ids, weights)
         for batch in batches:
-            for block in batch.column(0).to_pylist():
+            blocks = (b for content in batch.column(0).to_pylist() for b in blocks_of(content))
+            for block in blocks:
                 part, number, heads, got = decode_block(block, table)
                 n = heads["n"].astype(np.int64)
                 at = np.cumsum(n) - n
@@ -323,7 +316,7 @@ def read(spark: SparkSession, target: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(f"{target}/blocks").select("content")
     return arrow(
-        arrow(files, cut, "block binary"),
+        files,
         decode,
         "part bigint, block bigint, doc_id bigint, n bigint, at bigint, ids binary",
     )

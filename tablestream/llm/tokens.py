@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words whose ids a worker remembers (about 200 bytes each); beyond, it starts over.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 600_000
 
 
 class WordIds:
