@@ -35,8 +35,8 @@ from tablestream.llm.tokens import encoder
 from tablestream.session import fresh_path
 
 SCALE = 18
-SEGMENT = 1 << 17
-LANES = 512
+SEGMENT = 1 << 18
+LANES = 2048
 #: Ids after which a block ends with the document at hand.
 BLOCK = 1 << 18
 #: Bytes of ids a file should hold.

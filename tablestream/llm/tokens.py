@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words whose ids a worker remembers (about 200 bytes each); beyond, it starts over.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 800_000
 
 
 class WordIds:
@@ -42,6 +42,8 @@ class WordIds:
     def clear(self) -> None:
         self.slot: dict[str, int] = {}
         self.pool, self.size, self.begin = (np.zeros(0, t) for t in ("<u4", np.int64, np.int64))
+        # Whether a piece is glued to the one before, and ends in neither letter nor digit.
+        self.glued, self.marked = np.zeros(0, bool), np.zeros(0, bool)
 
     def of(self, words: list[str]) -> np.ndarray:
         found = list(map(self.slot.get, words))
@@ -55,7 +57,7 @@ class WordIds:
         return np.array(found, np.int64)
 
     def add(self, words: list[str]) -> None:
-        plain, odd, bad, parts = [], [], [], []
+        plain, plain_words, odd, bad, parts = [], [], [], [], []
         for w in words:
             piece = self.piece(w)
             if piece is None:
@@ -65,6 +67,7 @@ class WordIds:
                 parts.append(piece)
             else:
                 plain.append(piece)
+                plain_words.append(w)
         ids = self.encode(parts)
         sizes = [np.array([len(x) for x in ids], np.int64)]
         if plain:
@@ -78,22 +81,27 @@ class WordIds:
         self.pool = np.concatenate([self.pool, *ids])
         self.size = np.concatenate([self.size, good, np.full(len(bad), -1)])
         self.begin = np.concatenate([self.begin, begin, np.zeros(len(bad), np.int64)])
-        strip = len(self.piece("a")) - 1
-        order = odd + [p[strip:] if p[:1] == " " else p for p in plain] + bad
+        order = odd + plain_words + bad
+        self.glued = np.append(self.glued, [w[:1] == GLUE for w in order])
+        self.marked = np.append(self.marked, [not w[-1:].isalnum() for w in order])
         first = len(self.slot)
         self.slot.update(zip(order, range(first, first + len(order)), strict=True))
 
 
+#: In front of a piece that is cut off before a full stop or comma.
+GLUE = "\x01"
+
+
 def _behind_blank(word: str) -> str | None:
-    """How a piece that was cut off before its blank or newline is encoded.
+    """How a piece that was cut off before its blank, newline or stop is encoded.
 
     None where white space meets white space: the tokenizer may join both. Lines
     come as pieces with the newline in front.
     """
-    bare = word[1:] if word[:1] == "\n" else word
-    if not bare or bare[0].isspace() or bare[-1].isspace():
+    bare = word[1:] if word[:1] in ("\n", GLUE) else word
+    if not bare or bare[0].isspace() or bare[-1].isspace() or GLUE in bare:
         return None
-    return word if word[0] == "\n" else " " + word
+    return bare if word[0] == GLUE else word if word[0] == "\n" else " " + word
 
 
 class Encoder:
@@ -126,7 +134,11 @@ class Encoder:
         if self.cut is None or not len(texts):
             return self.whole(texts.to_pylist())
         blanks = self.cut == "before blank"
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if blanks else " "), " ")
+        cut = pc.replace_substring(texts, "\n", " \n" if blanks else " ")
+        if blanks:
+            for stop in ",.":
+                cut = pc.replace_substring(cut, stop, f" {GLUE}{stop}")
+        split = pc.split_pattern(cut, " ")
         bounds = split.offsets.to_numpy().astype(np.int64)
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False)
@@ -137,6 +149,10 @@ class Encoder:
         if blanks:
             # The first piece of a text has no blank before it.
             size[heads] = 0
+            # Stops next to other marks are one token with them.
+            glued = self.words.glued[slot]
+            glued[heads] = False
+            size[1:][glued[1:] & self.words.marked[slot[:-1]]] = -1
             lost = set(np.flatnonzero(np.minimum.reduceat(size, heads) < 0).tolist())
             size[size < 0] = 0
         ends = np.cumsum(size)
@@ -147,8 +163,9 @@ class Encoder:
         if not blanks:
             return body
         first = words[index[heads]].tolist()
-        # A text that starts with white space.
-        lost.update(i for i, word in enumerate(first) if not word or word != word.strip())
+        # A text that starts with white space or a stop, or holds the mark itself.
+        lost.update(i for i, w in enumerate(first) if not w or w != w.strip() or GLUE in w)
+        lost.update(np.flatnonzero(pc.match_substring(texts, GLUE)).tolist())
         out = [a + b for a, b in zip(self.whole(first), body, strict=True)]
         for i in lost:
             out[i] = self.whole([texts[i].as_py()])[0]
