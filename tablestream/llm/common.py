@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tablestream.session import fresh_path, pin_utc, settle
 from tablestream.sources.tables import table
 
-__all__ = ["Batches", "Scratch", "annotate", "arrow", "documents", "ready", "settle", "table", "text_of"]
+__all__ = ["Batches", "Scratch", "annotate", "arrow", "documents", "only", "ready", "settle", "table", "text_of"]
 
 Batches = Iterable[pa.RecordBatch]
 
@@ -36,6 +36,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(ready(spark), sf_dir, "documents")
 
 
+_CACHES: list = []
+
+
+def only(cache=None) -> None:
+    """Empty the word caches that other operators have left in this worker.
+
+    Workers live on between stages; the caches of all operators would add up.
+    """
+    for other in _CACHES:
+        if other is not cache:
+            other.clear()
+    if cache is not None and not any(c is cache for c in _CACHES):
+        _CACHES.append(cache)
+
+
 class Scratch:
     """Tables in the shared folder that a later step of the same work replaces."""
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablestream.llm.common import Batches, annotate, arrow
+from tablestream.llm.common import Batches, annotate, arrow, only
 
 #: Labelled texts per language that the model is fitted on, about.
 SAMPLE = 150
@@ -33,7 +33,7 @@ ALPHA = 0.05
 WORD = 24
 #: Probability, per letter, of a letter that no piece covers.
 FOREIGN = 1e-7
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 700_000
 UNKNOWN = "und"
 START = "▁"
 
@@ -162,6 +162,7 @@ class Scorer:
         return self.rows[found]
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        only(self)
         words = [[p for w in words_of(t or "") for p in parts_of(w)] for t in texts]
         sizes = [len(w) for w in words]
         rows = self.of([w for group in words for w in group])

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablestream.llm.common import Batches, Scratch, arrow, settle
+from tablestream.llm.common import Batches, Scratch, arrow, only, settle
 from tablestream.llm.graph import components
 
 WORDS = 5
@@ -199,6 +199,7 @@ def prepared(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
         pair = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))
         held: list[np.ndarray] = []
         size, late = 0, None
+        only()
         seen: set[int] = set()
 
         def bits_of(node: int | None, shingles: np.ndarray) -> bytes | None:
@@ -286,6 +287,7 @@ def postings(docs: DataFrame, text_col: str, common: np.ndarray, counts: np.ndar
     salted = listed[parts > 1]
 
     def step(batches: Batches) -> Iterator[pa.RecordBatch]:
+        only()
         order = Order(listed)
         by_hash = np.argsort(salted)
         hot, hot_parts = salted[by_hash], parts[parts > 1][by_hash]

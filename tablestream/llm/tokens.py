@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tablestream.llm.common import only
+
 #: Words whose ids a worker remembers (about 200 bytes each); beyond, it starts over.
 CACHED_WORDS = 800_000
 
@@ -133,6 +135,7 @@ class Encoder:
             texts = pa.array(texts, pa.string())
         if self.cut is None or not len(texts):
             return self.whole(texts.to_pylist())
+        only(self.words)
         blanks = self.cut == "before blank"
         cut = pc.replace_substring(texts, "\n", " \n" if blanks else " ")
         if blanks:
