@@ -34,6 +34,8 @@ WORD = 24
 #: Probability, per letter, of a letter that no piece covers.
 FOREIGN = 1e-7
 CACHED_WORDS = 700_000
+#: New words scored together: their pieces take a few kilobytes each.
+TOGETHER = 4096
 UNKNOWN = "und"
 START = "▁"
 
@@ -153,14 +155,18 @@ class Scorer:
             if len(self.slot) > CACHED_WORDS:
                 self.clear()
             new = [w for w in dict.fromkeys(words) if w not in self.slot]
-            groups = by_step(edges(new, pieces(self.model.vocabulary_path)))
-            alpha = forward(len(new), groups, self.model.weight)
-            last = alpha[np.arange(len(new)), [len(w) + 1 for w in new]]
+            last = [self.score(new[a : a + TOGETHER]) for a in range(0, len(new), TOGETHER)]
             self.slot.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
-            self.rows = np.concatenate([self.rows, np.log(np.maximum(last, 1e-300))])
+            self.rows = np.concatenate([self.rows, *last])
             found = list(map(self.slot.__getitem__, words))
         return self.rows[found]
 
+    def score(self, words: list[str]) -> np.ndarray:
+        groups = by_step(edges(words, pieces(self.model.vocabulary_path)))
+        alpha = forward(len(words), groups, self.model.weight)
+        last = alpha[np.arange(len(words)), [len(w) + 1 for w in words]]
+        return np.log(np.maximum(last, 1e-300))
+
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         only(self)
         words = [[p for w in words_of(t or "") for p in parts_of(w)] for t in texts]
