@@ -184,7 +184,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"tablestream {args.command}", args.master)
     shown = run(spark, args)
     if shown is not None:
-        shown.show(n=10_000, truncate=False)
+        # A partition at a time, so that a result of any size is printed whole.
+        print("\t".join(shown.columns))
+        for row in shown.toLocalIterator():
+            print("\t".join("NULL" if v is None else str(v) for v in row))
 
 
 if __name__ == "__main__":

@@ -227,6 +227,8 @@ class EventTable:
     def create_tag(self, tag: str, branch: str = MAIN, at: int | None = None) -> int:
         """Name a version. The tag is a row of the commits, not a copy."""
         _check_name(tag)
+        if not self.commits().where(F.col("branch") == tag).isEmpty():
+            raise ValueError(f"{tag} already exists")
         at = self.latest_version(branch) if at is None else at
         self._commit(tag, at, TAG, rows=0, fork_batch=at, source_branch=branch)
         return at
@@ -354,6 +356,8 @@ def _check_name(ref: str) -> None:
     """Refs become folder names."""
     if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", ref):
         raise ValueError(f"not a name for a branch or tag: {ref!r}")
+    if ref == MAIN:
+        raise ValueError(f"{MAIN} is reserved")
 
 
 def open_table(spark: SparkSession, root: str, spec: TableSpec) -> EventTable:

@@ -10,11 +10,16 @@ TEXT_LINE = T.StructType([T.StructField("value", T.StringType())])
 
 
 def kafka_options(
-    brokers: str, topic: str, start: str = "latest", group_id: str | None = None
+    brokers: str,
+    topic: str,
+    start: str = "latest",
+    group_id: str | None = None,
+    max_offsets: int | None = None,
 ) -> dict[str, str]:
     """``start`` is ``latest``, ``earliest`` or a JSON map of offsets.
 
     It only counts on the first run; later runs resume from the checkpoint.
+    ``max_offsets`` bounds a micro-batch, so that a backlog is worked off in parts.
     """
     options = {
         "kafka.bootstrap.servers": brokers,
@@ -23,6 +28,8 @@ def kafka_options(
     }
     if group_id:
         options["kafka.group.id"] = group_id
+    if max_offsets:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
     return options
 
 

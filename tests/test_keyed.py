@@ -287,3 +287,17 @@ def test_first_and_last_differ_on_duplicates(spark):
 def test_tables_are_visible_to_sql(spark, table):
     table.register()
     assert spark.sql("SELECT sum(value) AS s FROM t").first().s == 9
+
+
+def test_kafka_options_bound_a_batch():
+    from tablestream.sources.topics import kafka_options
+
+    assert kafka_options("b", "t", max_offsets=500)["maxOffsetsPerTrigger"] == "500"
+    assert "maxOffsetsPerTrigger" not in kafka_options("b", "t")
+
+
+def test_main_is_no_name_for_a_ref():
+    from tablestream.operators.changelog import _check_name
+
+    with pytest.raises(ValueError):
+        _check_name("main")
