@@ -7,7 +7,7 @@
     sql         a query over all tables
     emit        a table's rows as keyed JSON messages
     compact     merge small files
-    refs        list, create, tag, merge and delete branches
+    branches    list, create and merge branches of a table
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tablestream.functions.codec import encode
 from tablestream.functions.times import event_time_text
@@ -58,6 +57,8 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--start", default="latest")
         job.add_argument("--group")
         job.add_argument("--inbox", help="folder of JSON lines instead of a topic")
+        job.add_argument("--max-files", type=int, help="files per micro-batch of an inbox")
+        job.add_argument("--max-offsets", type=int, help="messages per micro-batch of a topic")
         job.add_argument("--branch", default=MAIN)
         job.add_argument("--interval", default=COMMIT_INTERVAL)
         job.add_argument("--once", action="store_true", help="work off what is there and stop")
@@ -70,7 +71,7 @@ def parser() -> argparse.ArgumentParser:
     query.add_argument("table", nargs="?", default="order_events")
     query.add_argument("--snapshots", action="store_true")
     query.add_argument("-n", "--limit", type=int, default=10)
-    query.add_argument("--branch", default=MAIN, help="branch or tag")
+    query.add_argument("--branch", default=MAIN, help="branch to read")
     query.add_argument("--snapshot", type=int, help="version to read")
 
     sql = commands.add_parser("sql")
@@ -89,15 +90,13 @@ def parser() -> argparse.ArgumentParser:
     small.add_argument("--branch", default=MAIN)
     small.add_argument("--target-bytes", type=int, default=TARGET_BYTES)
 
-    refs = commands.add_parser("refs")
+    refs = commands.add_parser("branches")
     refs.add_argument("table", nargs="?", default="order_events")
     refs.add_argument("--create", metavar="BRANCH")
-    refs.add_argument("--tag", metavar="TAG")
     refs.add_argument("--merge", metavar="BRANCH")
-    refs.add_argument("--delete", metavar="REF")
     refs.add_argument("--from", dest="source", default=MAIN)
     refs.add_argument("--into", default=MAIN)
-    refs.add_argument("--at", type=int, help="version to fork or tag; the newest if not given")
+    refs.add_argument("--at", type=int, help="version to fork; the newest if not given")
     return top
 
 
@@ -115,14 +114,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
             print(f"{spec.name}: {'created' if made else 'exists'}")
         return None
     if args.command in JOBS:
-        query = start_job(spark, args)
-        query.awaitTermination()
+        queries = start_job(spark, args)
+        if not args.once:
+            spark.streams.awaitAnyTermination()
+        for query in queries:
+            query.awaitTermination()
         return None
     if args.command == "sql":
         for spec in TABLES.values():
             table = open_table(spark, args.root, spec)
-            if not table.versions(args.branch).isEmpty():
-                table.register(args.branch)
+            for branch in table.branches():
+                if branch == args.branch:
+                    table.register(branch)
+                table.register(branch, view=f"{spec.name}__{branch}")
         return spark.sql(args.text)
 
     table = find(spark, args.root, args.table)
@@ -147,21 +151,23 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
         return None
     if args.create:
         table.create_branch(args.create, args.source, args.at)
-    if args.tag:
-        table.create_tag(args.tag, args.source, args.at)
     if args.merge:
         publish(table, args.merge, args.into)
-    if args.delete:
-        table.delete_ref(args.delete)
-    return table.refs().orderBy(F.col("type"), F.col("name"))
+    heads = [(b, table.latest_version(b)) for b in table.branches()]
+    return spark.createDataFrame(heads, "name string, batch_id long")
 
 
 def start_job(spark: SparkSession, args: argparse.Namespace):
     if args.inbox:
-        messages = text_messages(spark, args.inbox)
+        messages = text_messages(spark, args.inbox, args.max_files)
     else:
         messages = kafka_messages(
-            spark, args.brokers, args.topic, start=args.start, group_id=args.group
+            spark,
+            args.brokers,
+            args.topic,
+            start=args.start,
+            group_id=args.group,
+            max_offsets=args.max_offsets,
         )
     inputs = [messages]
     more = {}
@@ -169,14 +175,11 @@ def start_job(spark: SparkSession, args: argparse.Namespace):
         inputs.append(read_csv_dimension(spark, args.regions))
     if args.command == "products-sold":
         more["state_partitions"] = args.state_partitions
-    return JOBS[args.command](
-        *inputs,
-        args.root,
-        args.checkpoint,
-        branch=args.branch,
-        interval=None if args.once else args.interval,
-        **more,
-    )
+    where = {"branch": args.branch, "interval": None if args.once else args.interval}
+    started = [JOBS[args.command](*inputs, args.root, args.checkpoint, **where, **more)]
+    if args.command == "products-sold":
+        started.append(jobs.undecoded(messages, args.root, args.checkpoint, **where))
+    return started
 
 
 def main(argv: list[str] | None = None) -> None:

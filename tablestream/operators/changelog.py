@@ -9,16 +9,22 @@ folded: the first commit of every hundred repeats the earlier rows, so a reader
 lists and opens one fold however long the history is.
 
 A writer names its own batch (``writer``, ``writer_batch``); a replay of a
-committed one is a no-op and a replay of an uncommitted one overwrites its
-leftovers. One writer at a time per table and branch.
+committed one is a no-op. Rows are written aside first; then a writer claims the
+next batch id with a file that must not exist, moves its rows there and commits.
+So several writers of one branch commit one after the other and lose nothing. A
+rewrite stores the version it was made of (``covers``), and readers add every
+batch after that version, whenever it was committed.
 """
 
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,22 +34,30 @@ from tablestream.operators import keyed
 from tablestream.schemas import COMMIT, KEYED, SUMS, TableSpec
 
 MAIN = "main"
-ADD, REPLACE, FORK, TAG = "append", "replace", "fork", "tag"
+ADD, REPLACE, FORK = "append", "replace", "fork"
 #: Commits per fold.
 FOLD = 100
+#: Age at which the claim of a writer that has not committed is void.
+CLAIM_SECONDS = 300
 
 
 class NoSuchVersion(LookupError):
     """The table, branch or version asked for was never committed."""
 
 
+class HeadMoved(RuntimeError):
+    """Another batch was committed first."""
+
+
 @dataclass(frozen=True)
 class Layer:
-    """The part of one branch a read sees: batches up to ``upto``."""
+    """The part of one branch a read sees: batches after ``after`` up to ``upto``,
+    over the rewritten rows of batch ``base``, if there is one."""
 
     branch: str
     after: int
     upto: int
+    base: int | None = None
 
 
 class EventTable:
@@ -54,12 +68,9 @@ class EventTable:
 
     # -- commits -----------------------------------------------------------
 
-    def commits(self) -> DataFrame:
-        """One row per commit of every branch and tag; empty before the first."""
-        return self._read_commits(self._children("commits"))
-
     def versions(self, branch: str = MAIN) -> DataFrame:
-        return self._read_commits([branch]).where(F.col("operation").isin(ADD, REPLACE, FORK))
+        """One row per commit of ``branch``; empty before the first."""
+        return self._read_commits([branch])
 
     def _read_commits(self, branches: list[str]) -> DataFrame:
         newest = [
@@ -133,28 +144,34 @@ class EventTable:
         writer_batch: int | None = None,
         operation: str = ADD,
         high_water: datetime | None = None,
+        covers: int | None = None,
+        expected_head: int | None = None,
     ) -> int:
         """Commit ``rows`` as one batch and return its id.
 
-        Rows may carry ``_seq`` and ``_op``; they default to 0 and ``U``.
+        Rows may carry ``_seq`` and ``_op``; they default to 0 and ``U``. With
+        ``expected_head`` nothing is committed if another batch came in between.
         """
         batch_id, done = self._next(branch, writer, writer_batch)
         if done is not None:
             return done
-        folder = self._folder(branch, batch_id)
+        # Named only when its turn comes: another writer may commit meanwhile.
+        pending = f"changes/branch={branch}/_pending-{uuid.uuid4().hex}"
         written = Observation()
         counted = self.as_changes(rows).observe(written, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").parquet(folder)
-        self._commit(
+        counted.write.parquet(f"{self.path}/{pending}")
+        return self._commit(
             branch,
-            batch_id,
             operation,
+            batch_id,
+            pending,
+            expected_head,
             rows=written.get["rows"],
             writer=writer,
             writer_batch=writer_batch,
             high_water=high_water,
+            covers=covers,
         )
-        return batch_id
 
     def as_changes(self, rows: DataFrame) -> DataFrame:
         have = set(rows.columns)
@@ -191,7 +208,37 @@ class EventTable:
     def _folder(self, branch: str, batch_id: int) -> str:
         return f"{self.path}/changes/branch={branch}/batch_id={batch_id}"
 
-    def _commit(self, branch: str, batch_id: int, operation: str, **values) -> None:
+    def _commit(
+        self,
+        branch: str,
+        operation: str,
+        batch_id: int,
+        pending: str | None = None,
+        expected_head: int | None = None,
+        **values,
+    ) -> int:
+        """Commit under ``batch_id``, or under the next free id if others were faster."""
+        deadline = time.monotonic() + 2 * CLAIM_SECONDS
+        while True:
+            if expected_head is not None and batch_id != expected_head + 1:
+                raise HeadMoved(f"{branch} moved from {expected_head} to {batch_id - 1}")
+            if self._claim(branch, batch_id):
+                break
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"batch {batch_id} of {self.path} is not committed by its writer")
+            time.sleep(0.1)
+            batch_id, done = self._next(branch, values.get("writer"), values.get("writer_batch"))
+            if done is not None:
+                return done
+        try:
+            if pending:
+                self._move(pending, f"changes/branch={branch}/batch_id={batch_id}")
+            self._write_commit(branch, batch_id, operation, values)
+        finally:
+            self._delete(f"claims/{branch}/{batch_id}")
+        return batch_id
+
+    def _write_commit(self, branch: str, batch_id: int, operation: str, values: dict) -> None:
         given = {"branch": branch, "batch_id": batch_id, "operation": operation, **values}
         mark = given.get("high_water")
         computed = {
@@ -204,12 +251,48 @@ class EventTable:
                 for f in COMMIT
             ]
         )
-        fold = 0 if operation == TAG else max(batch_id, 0) // FOLD
+        fold = max(batch_id, 0) // FOLD
         if fold and self._newest_fold(branch) != fold:
             row = self._read_commits([branch]).unionByName(row).coalesce(1)
         row.write.mode("overwrite").parquet(f"{self.path}/commits/{branch}/{fold}/{batch_id}")
 
-    # -- branches and tags ---------------------------------------------------
+    def _claim(self, branch: str, batch_id: int) -> bool:
+        """Whether this writer may commit ``batch_id``: nobody else has its claim,
+        a file whose creation fails when it exists. The claim of a writer that died
+        is void after ``CLAIM_SECONDS``; the next one has a number of its own."""
+        folder, files = self._file_system(f"claims/{branch}/{batch_id}")
+        taken = files.listStatus(folder) if files.exists(folder) else []
+        newest = max((s.getModificationTime() for s in taken), default=0)
+        if time.time() * 1000 - newest < CLAIM_SECONDS * 1000:
+            return False
+        path, _ = self._file_system(f"claims/{branch}/{batch_id}/{len(taken)}")
+        try:
+            files.create(path, False).close()
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in str(error.java_exception):
+                raise
+            return False
+        # A claim goes once its commit is there, so a late one may find it made.
+        fold = max(batch_id, 0) // FOLD
+        made = self._children(f"commits/{branch}/{fold}/{batch_id}", files=True)
+        if any(x.endswith(".parquet") for x in made):
+            files.delete(path, False)
+            return False
+        return True
+
+    def _move(self, pending: str, folder: str) -> None:
+        """Give the written rows their place, over the leftovers of a dead writer."""
+        source, files = self._file_system(pending)
+        target, _ = self._file_system(folder)
+        files.delete(target, True)
+        if not files.rename(source, target):
+            raise OSError(f"cannot move {source} to {target}")
+
+    def _delete(self, folder: str) -> None:
+        path, files = self._file_system(folder)
+        files.delete(path, True)
+
+    # -- branches ---------------------------------------------------
 
     def create_branch(self, branch: str, source: str = MAIN, at: int | None = None) -> int:
         """Fork ``branch`` from a version of ``source``; copies no data."""
@@ -217,121 +300,96 @@ class EventTable:
         if not self.versions(branch).isEmpty():
             raise ValueError(f"branch {branch} already exists")
         at = self.latest_version(source) if at is None else at
-        self._commit(branch, -1, FORK, rows=0, fork_batch=at, source_branch=source)
+        fork = {"rows": 0, "fork_batch": at, "source_branch": source, "covers": -1}
+        self._commit(branch, FORK, -1, expected_head=-2, **fork)
         return at
 
-    def refork(self, branch: str, source: str, at: int) -> None:
-        """Let ``branch`` start again from ``source`` at ``at``, as after a publish."""
-        self._commit(branch, self._next(branch)[0], FORK, rows=0, fork_batch=at, source_branch=source)
-
-    def create_tag(self, tag: str, branch: str = MAIN, at: int | None = None) -> int:
-        """Name a version. The tag is a row of the commits, not a copy."""
-        _check_name(tag)
-        if not self.commits().where(F.col("branch") == tag).isEmpty():
-            raise ValueError(f"{tag} already exists")
-        at = self.latest_version(branch) if at is None else at
-        self._commit(tag, at, TAG, rows=0, fork_batch=at, source_branch=branch)
-        return at
+    def refork(self, branch: str, source: str, at: int, covers: int) -> None:
+        """Let ``branch`` start again from ``source`` at ``at``, which holds the
+        branch's batches up to ``covers``; later ones stay on top."""
+        fork = {"rows": 0, "fork_batch": at, "source_branch": source, "covers": covers}
+        self._commit(branch, FORK, self._next(branch)[0], **fork)
 
-    def delete_ref(self, ref: str) -> None:
-        """Forget a tag or a branch, with the branch's own rows."""
-        if ref == MAIN:
-            raise ValueError(f"{MAIN} cannot be deleted")
-        users = self.commits().where((F.col("source_branch") == ref) & (F.col("branch") != ref))
-        if not users.isEmpty():
-            raise ValueError(f"{ref} is the source of another branch or tag")
-        if not self._children(f"commits/{ref}"):
-            raise NoSuchVersion(f"{self.spec.name} has no branch or tag {ref}")
-        # The commits go first: without them the rows are out of sight.
-        for folder in (f"commits/{ref}", f"changes/branch={ref}"):
-            path, files = self._file_system(folder)
-            files.delete(path, True)
-
-    def refs(self) -> DataFrame:
-        """Branches and tags with the batch each points at."""
-        named = self.commits().groupBy("branch").agg(
-            F.max("batch_id").alias("batch_id"),
-            F.max_by("source_branch", "batch_id").alias("source_branch"),
-            F.max(F.col("operation") == TAG).alias("_tag"),
-        )
-        return named.select(
-            F.when(F.col("_tag"), F.lit("TAG")).otherwise(F.lit("BRANCH")).alias("type"),
-            F.col("branch").alias("name"),
-            "batch_id",
-        )
+    def branches(self) -> list[str]:
+        return sorted(self._children("commits"))
 
     def layers(self, ref: str = MAIN, version: int | None = None) -> list[Layer]:
-        """What a read of a branch (at ``version``) or a tag is made of, lowest first."""
+        """What a read of a branch (at ``version``) is made of, lowest first."""
         found: list[Layer] = []
         while True:
             at = self._position(ref, version)
-            if at["tag"] is not None:
-                ref, version = at["tag"]["source_branch"], at["tag"]["fork_batch"]
-                continue
             if at["head"] is None:
                 raise NoSuchVersion(f"{self.spec.name} has no committed batch on {ref}")
             if version is not None and not at["present"]:
                 raise NoSuchVersion(f"{self.spec.name} has no batch {version} on {ref}")
             upto = at["head"] if version is None else version
-            base = at["base"]
-            if base is None:
-                found.append(Layer(ref, -1, upto))
+            base, fork = at["base"], at["fork"]
+            # A rewrite that was read before the newest fork does not hold it.
+            if base is not None and (fork is None or base["covers"] >= fork["batch_id"]):
+                found.append(Layer(ref, base["covers"], upto, base["batch_id"]))
                 break
-            if base["operation"] == REPLACE:
-                found.append(Layer(ref, base["batch_id"] - 1, upto))
+            found.append(Layer(ref, -1 if fork is None else fork["covers"], upto))
+            if fork is None:
                 break
-            found.append(Layer(ref, base["batch_id"], upto))
-            ref, version = base["source_branch"], base["fork_batch"]
+            ref, version = fork["source_branch"], fork["fork_batch"]
         return found[::-1]
 
     def _position(self, ref: str, version: int | None) -> Row:
         """Where a read of ``ref`` starts and ends, in one pass over its commits."""
         batch, operation = F.col("batch_id"), F.col("operation")
-        row = F.struct("batch_id", "operation", "fork_batch", "source_branch")
+        fork = F.struct("batch_id", "fork_batch", "source_branch", "covers")
         seen = F.lit(True) if version is None else batch <= version
-        is_tag = operation == TAG
         return (
             self._read_commits([ref])
             .agg(
-                F.max(F.when(~is_tag, batch)).alias("head"),
-                F.max(F.when(is_tag, row)).alias("tag"),
-                F.max(F.when(operation.isin(REPLACE, FORK) & seen, row)).alias("base"),
-                F.coalesce(F.max(~is_tag & (batch == F.lit(version))), F.lit(False)).alias("present"),
+                F.max(batch).alias("head"),
+                F.max(F.when((operation == FORK) & seen, fork)).alias("fork"),
+                F.max(
+                    F.when((operation == REPLACE) & seen, F.struct("covers", "batch_id"))
+                ).alias("base"),
+                F.coalesce(F.max(batch == F.lit(version)), F.lit(False)).alias("present"),
             )
             .first()
         )
 
-    def layer_changes(self, layer: Layer, rewrites: bool = True) -> DataFrame:
+    def layer_changes(self, layer: Layer) -> DataFrame:
         """Committed changes of one layer, with their ``batch_id``.
 
-        ``rewrites`` False leaves out compacted bases: they move rows, and a
-        question about what changed must not count them.
+        Rows of the rewritten base rank as the version it was made of, below every
+        batch that was committed meanwhile.
         """
+        added = (
+            (F.col("operation") == ADD)
+            & (F.col("batch_id") > layer.after)
+            & (F.col("batch_id") <= layer.upto)
+        )
         ids = [
             r[0]
             for r in self.versions(layer.branch)
-            .where(
-                (F.col("batch_id") > layer.after)
-                & (F.col("batch_id") <= layer.upto)
-                & F.col("operation").isin(ADD, *([REPLACE] if rewrites else []))
-            )
+            .where(added | (F.col("batch_id") == F.lit(layer.base)))
             .select("batch_id")
             .collect()  # batch numbers since the last compaction, not data
         ]
         schema = T.StructType([*self.change_schema.fields, T.StructField("batch_id", T.LongType())])
         if not ids:
             return self.spark.createDataFrame([], schema)
-        return (
+        rows = (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.path}/changes/branch={layer.branch}")
             .parquet(*[self._folder(layer.branch, n) for n in sorted(ids)])
         )
+        if layer.base is None:
+            return rows
+        is_base = F.col("batch_id") == layer.base
+        return rows.withColumn(
+            "batch_id", F.when(is_base, F.lit(layer.after).cast("long")).otherwise(F.col("batch_id"))
+        )
 
     def changes(self, branch: str = MAIN, version: int | None = None) -> DataFrame:
         return keyed.stack([self.layer_changes(x) for x in self.layers(branch, version)])
 
     def read(self, branch: str = MAIN, version: int | None = None) -> DataFrame:
-        """The table's rows on ``branch`` (or at a tag), now or at ``version``."""
+        """The table's rows on ``branch``, now or at ``version``."""
         return self.state_of(self.changes(branch, version))
 
     def state_of(self, changes: DataFrame, with_seq: bool = False) -> DataFrame:
@@ -353,9 +411,9 @@ class EventTable:
 
 
 def _check_name(ref: str) -> None:
-    """Refs become folder names."""
+    """Branches become folder names and, in views, follow two underscores."""
     if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", ref):
-        raise ValueError(f"not a name for a branch or tag: {ref!r}")
+        raise ValueError(f"not a name for a branch: {ref!r}")
     if ref == MAIN:
         raise ValueError(f"{MAIN} is reserved")
 

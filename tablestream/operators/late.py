@@ -83,13 +83,19 @@ def mark_late(
     arrival: str = "_seq",
     size: str = WINDOW_SIZE,
     grace: str = GRACE,
+    closings: DataFrame | None = None,
+    mark: Column | None = None,
 ) -> DataFrame:
-    """Add ``window_start``, ``window_end`` and ``is_late``.
+    """Add ``window_start``, ``window_end`` and ``is_late``; rows without a time are
+    left out (``undated`` has them).
 
     The small closing table is written first, so that the planner knows its
-    size: it is broadcast if it is small and the rows are not moved at all.
+    size: it is broadcast if it is small and the rows are not moved at all. A
+    caller that keeps it itself passes it as ``closings``. ``mark`` is the
+    high-water mark of arrivals before all of ``events``.
     """
-    closings = settle(closing_arrivals(events, ts, arrival, size, grace), "closings")
+    if closings is None:
+        closings = settle(closing_arrivals(events, ts, arrival, size, grace), "closings")
     end = floor_micros(micros(ts), size) + span_micros(size)
     joined = (
         events.where(F.col(ts).isNotNull())
@@ -98,7 +104,16 @@ def mark_late(
         .withColumn("is_late", F.coalesce(F.col(arrival) > F.col("closed_at"), F.lit(False)))
         .drop("_end", "closed_at")
     )
-    return tumble(joined, ts, size)
+    windowed = tumble(joined, ts, size)
+    if mark is None:
+        return windowed
+    before = F.coalesce(F.col("window_end") <= earlier(mark, grace), F.lit(False))
+    return windowed.withColumn("is_late", F.col("is_late") | before)
+
+
+def undated(events: DataFrame, ts: str = "event_timestamp") -> DataFrame:
+    """The rows that ``mark_late`` and the windows leave out."""
+    return events.where(F.col(ts).isNull())
 
 
 def mark_late_against(

@@ -32,14 +32,21 @@ def file_stats(stored: DataFrame) -> tuple[int, int]:
     return n, size or 0
 
 
-def compact(table: EventTable, branch: str = MAIN, target_bytes: int = TARGET_BYTES) -> Compaction:
-    """Rewrite a branch's live rows as one new base version.
+def compact(
+    table: EventTable,
+    branch: str = MAIN,
+    target_bytes: int = TARGET_BYTES,
+    version: int | None = None,
+) -> Compaction:
+    """Rewrite a branch's live rows (at ``version``) as one new base version.
 
     Keyed tables shrink to the latest row per key, partial-sum tables to one row
     per key; append-only tables keep every row. Versions before the new base stay
-    readable: their folders are left alone.
+    readable: their folders are left alone. Batches committed while it runs come
+    after the version it has read, and readers add them to the new base.
     """
-    stats = [file_stats(table.layer_changes(x)) for x in table.layers(branch)]
+    head = table.latest_version(branch) if version is None else version
+    stats = [file_stats(table.layer_changes(x)) for x in table.layers(branch, head)]
     old_files = sum(n for n, _ in stats)
     old_bytes = sum(b for _, b in stats)
     files = max(1, ceil(old_bytes / target_bytes))
@@ -51,10 +58,10 @@ def compact(table: EventTable, branch: str = MAIN, target_bytes: int = TARGET_BY
     session.conf.set("spark.sql.shuffle.partitions", str(files))
     session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     own = EventTable(session, table.path.rsplit("/", 1)[0], table.spec)
-    live = own.state_of(own.changes(branch), with_seq=True)
+    live = own.state_of(own.changes(branch, head), with_seq=True)
     if table.spec.kind == APPEND:
         live = live.repartition(files)
-    batch_id = own.append(live, branch, operation=REPLACE)
+    batch_id = own.append(live, branch, operation=REPLACE, covers=head)
 
     rewritten = table.spark.read.schema(table.change_schema).parquet(table._folder(branch, batch_id))
     new_files, new_bytes = file_stats(rewritten)

@@ -11,17 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.operators import keyed
+from tablestream.operators import keyed, late
 from tablestream.operators.changelog import EventTable, open_table
 from tablestream.operators.maintain import compact
 from tablestream.operators.publish import audited_publish, diff, publish
 from tablestream.operators.windows import row_count, window_sales
 from tablestream.plans.registry import query
-from tablestream.plans.windows import LINES_SQL, MONTHLY
+from tablestream.plans.windows import HOURLY, HOURLY_GRACE, LATE_SQL, LINES_SQL, MONTHLY
 from tablestream.schemas import (
     BIGINT,
     DOUBLE,
     INT,
+    LATE_EVENTS_DLQ,
     TIME,
     WINDOWED_SALES,
     TableSpec,
@@ -29,7 +30,14 @@ from tablestream.schemas import (
 )
 from tablestream.session import fresh_path
 from tablestream.sources.days import write_by_day
-from tablestream.sources.tables import LINE_KEY, LINE_ORDER, line_changes, order_lines, table
+from tablestream.sources.tables import (
+    LINE_KEY,
+    LINE_ORDER,
+    late_events,
+    line_changes,
+    order_lines,
+    table,
+)
 
 VERSION = 40
 COLUMNS = ["order_id", "line", "product_id", "supplier_id", "total_amount", "event_time"]
@@ -185,6 +193,62 @@ def compacted_equals_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.read()
 
 
+@query("K4 M1", f"WITH {CHANGES_SQL} {_latest_sql('changes')}")
+def compacted_while_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch is committed after the compaction has read and before it commits."""
+    stored = _stored(spark, LINES_TABLE)
+    *first, last = _years(order_lines(spark, sf_dir))
+    for n, batch in enumerate(first):
+        stored.append(batch, writer="lines", writer_batch=n)
+    read = stored.latest_version()
+    stored.append(last, writer="lines", writer_batch=len(first))
+    compact(stored, version=read)
+    return stored.read()
+
+
+YEARS_SQL = f"""
+{LINES_SQL},
+years AS (
+  SELECT CASE WHEN year(event_time) <= 1996 THEN 0 WHEN year(event_time) <= 1998 THEN 1
+              WHEN year(event_time) <= 2000 THEN 2 ELSE 3 END AS n
+  FROM lines
+)
+"""
+
+
+@query(
+    "S6 L2",
+    f"""
+    WITH {YEARS_SQL}
+    SELECT g.n AS batch_id, 'append' AS operation, count(years.n) AS rows
+    FROM (SELECT unnest(range(4)) AS n) AS g LEFT JOIN years USING (n) GROUP BY 1, 2
+    """,
+)
+def stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = _stored(spark, LINES_TABLE)
+    for n, batch in enumerate(_years(order_lines(spark, sf_dir))):
+        stored.append(batch, writer="lines", writer_batch=n)
+    return stored.snapshots().select("batch_id", "operation", "rows")
+
+
+@query(
+    "S9",
+    f"""
+    WITH {YEARS_SQL}
+    SELECT 3 AS latest_version, count(*) AS rows FROM years WHERE n = 3
+    """,
+)
+def stored_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest version by its number, and the rows it came with."""
+    stored = _stored(spark, LINES_TABLE)
+    for n, batch in enumerate(_years(order_lines(spark, sf_dir))):
+        stored.append(batch, writer="lines", writer_batch=n)
+    newest = F.col("batch_id") == stored.latest_version()
+    return stored.versions().where(newest).select(
+        F.col("batch_id").cast("int").alias("latest_version"), "rows"
+    )
+
+
 @query("S7 M1", f"WITH {CHANGES_SQL} {_latest_sql('changes', 'year(event_time) <= 1998')}")
 def version_before_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, LINES_TABLE)
@@ -256,6 +320,51 @@ def branch_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.read()
 
 
+@query(
+    "V3 T9",
+    """
+    SELECT time_bucket(INTERVAL 30 DAY, l_shipdate, TIMESTAMP '1970-01-01') AS window_start,
+           time_bucket(INTERVAL 30 DAY, l_shipdate, TIMESTAMP '1970-01-01') + INTERVAL 30 DAY
+             AS window_end,
+           l_returnflag AS region,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3
+    """,
+)
+def published_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial sums written on a branch add up with those of the main line."""
+    stored = _stored(spark, WINDOWED_SALES)
+    settled, pending = (
+        window_sales(x.withColumnRenamed("return_flag", "region"), "event_time", size=MONTHLY)
+        for x in _by_status(spark, sf_dir)
+    )
+    stored.create()
+    stored.create_branch("dev")
+    stored.append(pending, "dev", writer="pending", writer_batch=0)
+    stored.append(settled, writer="settled", writer_batch=0)
+    publish(stored, "dev")
+    return stored.read().withColumn("total_sales", F.col("total_sales").cast("double"))
+
+
+@query(
+    "V3 T5",
+    f"WITH {LATE_SQL} SELECT region, total_amount, event_time FROM marked WHERE is_late",
+)
+def published_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of a branch and of the main line, after the branch is published."""
+    stored = _stored(spark, LATE_EVENTS_DLQ)
+    marked = late.mark_late(
+        late_events(spark, sf_dir), "event_time", "event_id", HOURLY, HOURLY_GRACE
+    )
+    tried = F.col("event_id") % 3 == 0
+    stored.create()
+    stored.create_branch("dev")
+    stored.append(late.dead_letters(marked.where(tried), "event_time"), "dev")
+    stored.append(late.dead_letters(marked.where(~tried), "event_time"))
+    publish(stored, "dev")
+    return stored.read()
+
+
 @query("V4", f"WITH {STATUS_SQL} {_latest_sql('by_status')}")
 def audited_branch_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _forked(spark, sf_dir)

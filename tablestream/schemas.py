@@ -80,6 +80,7 @@ COMMIT = T.StructType(
         T.StructField("writer", T.StringType()),
         T.StructField("writer_batch", T.LongType()),
         T.StructField("high_water", T.TimestampNTZType()),
+        T.StructField("covers", T.LongType()),
     ]
 )
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Where a line was read; orders lines that carry no offset.
+PLACE = ("_file_time", "_file", "_block")
 TEXT_LINE = T.StructType([T.StructField("value", T.StringType())])
 
 
@@ -52,25 +54,49 @@ def kafka_seq():
 def text_messages(
     spark: SparkSession, folder: str, max_files: int | None = None, glob: str | None = None
 ) -> DataFrame:
-    """The same shape from a folder of JSON lines.
-
-    Lines carry their own ``offset`` field, so a replay sees the same order.
-    """
+    """Messages from a folder of JSON lines; ``arrivals`` puts a batch of them in order."""
     reader = spark.readStream.schema(TEXT_LINE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return _with_line_seq(reader.text(folder))
+    return _lines(reader.text(folder))
 
 
 def text_messages_batch(spark: SparkSession, folder: str) -> DataFrame:
-    return _with_line_seq(spark.read.schema(TEXT_LINE).text(folder))
+    return arrivals(_lines(spark.read.schema(TEXT_LINE).text(folder)))
 
 
-def _with_line_seq(lines: DataFrame) -> DataFrame:
+def _lines(lines: DataFrame) -> DataFrame:
     offset = F.get_json_object("value", "$.offset").try_cast("long")
-    return lines.select("value", F.coalesce(offset, F.lit(0)).alias("_seq"))
+    place = [
+        F.col("_metadata.file_modification_time").alias("_file_time"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    ]
+    return lines.select("value", offset.alias("_seq"), *place)
+
+
+def arrivals(batch: DataFrame) -> DataFrame:
+    """Number the messages of a batch in the order of their arrival, as ``_seq``.
+
+    Kafka messages have their number. Lines of files count by the time and name of
+    their file and their place in it; lines with an ``offset`` field of their own, as
+    a topic's copy has, go by that. A folder has such a field in all lines or none.
+    """
+    if not set(PLACE) <= set(batch.columns):
+        return batch
+    lines = batch.withColumn("_line", F.monotonically_increasing_id())
+    splits = lines.groupBy(*PLACE).agg(F.min("_line").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select(
+        *PLACE, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
+    )
+    kept = [c for c in batch.columns if c not in (*PLACE, "_seq")]
+    # One row per file split of this batch: the list the driver has planned it by.
+    return lines.join(F.broadcast(starts), list(PLACE)).select(
+        *kept, F.coalesce("_seq", F.col("_line") + F.col("_shift")).alias("_seq")
+    )
 
 
 def write_messages(messages: DataFrame, folder: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import Future
 from functools import reduce
 from operator import or_
 
@@ -17,26 +18,33 @@ from tablestream.schemas import COMMIT_INTERVAL, TableSpec, rejects_of
 
 def start(
     stream: DataFrame,
-    write: Callable[[DataFrame, int], object],
+    write: Callable[[DataFrame, int, str], object],
     name: str,
     checkpoint: str,
     mode: str = "append",
     interval: str | None = COMMIT_INTERVAL,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Run ``write(batch, batch_id)`` per micro-batch.
+    """Run ``write(batch, batch_id, writer)`` per micro-batch.
 
-    ``interval`` None works off what is there and stops. The checkpoint and the
-    writer's own batch number together make each batch count exactly once.
+    ``interval`` None works off what is there and stops. ``writer`` names the query
+    by the id that its checkpoint keeps: a restarted query has the same one, a query
+    with a new checkpoint another, though both count their batches from 0. Writer
+    and batch number together make each batch count exactly once.
     ``state_partitions`` spreads keyed state over that many tasks; the first run
     fixes it for the life of the checkpoint, so choose it for the load to come.
     """
     spark = stream.sparkSession
+    identity: Future[str] = Future()
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id, f"{name}:{identity.result()}")
+
     writer = (
         stream.writeStream.queryName(name)
         .outputMode(mode)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
-        .foreachBatch(lambda batch, batch_id: write(batch, batch_id) and None)
+        .foreachBatch(run)
     )
     if interval is None:
         writer = writer.trigger(availableNow=True)
@@ -46,32 +54,40 @@ def start(
     try:
         # A query takes over the session's settings when it starts.
         spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
-        return writer.start()
+        query = writer.start()
+        identity.set_result(str(query.id))
+        return query
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def save_rejects(table: EventTable, rows: DataFrame, writer: str, batch_id: int) -> None:
-    """Keep the rows a job could not use; a batch without any commits nothing."""
+def save_rejects(
+    table: EventTable, rows: DataFrame, writer: str, batch_id: int, branch: str = MAIN
+) -> None:
+    """Keep the rows a job could not use, on the job's own branch; a batch without
+    any commits nothing."""
     if rows.isEmpty():
         return
+    if branch != MAIN and table.versions(branch).isEmpty():
+        table.create()
+        table.create_branch(branch)
     stamped = rows.withColumnRenamed("reject_reason", "reason").withColumn(
         "ingestion_time", F.current_timestamp().cast("timestamp_ntz")
     )
-    table.append(stamped, writer=writer, writer_batch=batch_id)
+    table.append(stamped, branch, writer=writer, writer_batch=batch_id)
 
 
 def keyed_writer(
-    spark: SparkSession, root: str, spec: TableSpec, writer: str, branch: str = MAIN
-) -> Callable[[DataFrame, int], None]:
+    spark: SparkSession, root: str, spec: TableSpec, job: str, branch: str = MAIN
+) -> Callable[[DataFrame, int, str], None]:
     """Commit every micro-batch to the keyed table ``spec``.
 
     A keyed table holds no NULL key; such rows go to the job's reject table.
     """
     table = open_table(spark, root, spec)
-    rejects = open_table(spark, root, rejects_of(writer))
+    rejects = open_table(spark, root, rejects_of(job))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, writer: str) -> None:
         rows = batch.persist()
         try:
             keyed = rows.dropna(subset=list(spec.key))
@@ -79,7 +95,7 @@ def keyed_writer(
                 F.to_json(F.struct(*batch.columns)).alias("value"),
                 F.lit(NO_KEY).alias("reject_reason"),
             )
-            save_rejects(rejects, without, writer, batch_id)
+            save_rejects(rejects, without, writer, batch_id, branch)
             table.append(keyed, branch, writer=writer, writer_batch=batch_id)
         finally:
             rows.unpersist()

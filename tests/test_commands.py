@@ -46,20 +46,17 @@ def test_a_day_with_the_command_line(spark, cli, tmp_path, capsys):
         ("o2", "Virginia DC"),
     ]
 
-    cli("refs", "--create", "dev")
-    cli("refs", "--tag", "v1")
+    cli("branches", "--create", "dev")
     send(3)
     cli("ingest", *job, "--branch", "dev")
     assert rows_of(cli("query", "--branch", "dev"), "event_id") == [("e1",), ("e3",)]
-    cli("refs", "--merge", "dev")
+    both = "SELECT (SELECT count(*) FROM order_events), (SELECT count(*) FROM order_events__dev)"
+    assert rows_of(cli("sql", both)) == [(1, 2)]
+    cli("branches", "--merge", "dev")
     cli("compact", "order_events")
     assert "new_files=1" in capsys.readouterr().out
     assert rows_of(cli("query"), "event_id") == [("e1",), ("e3",)]
-    assert rows_of(cli("query", "--branch", "v1"), "event_id") == [("e1",)]
-    assert rows_of(cli("refs", "--delete", "v1"), "type", "name") == [
-        ("BRANCH", "dev"),
-        ("BRANCH", "main"),
-    ]
+    assert rows_of(cli("branches"), "name") == [("dev",), ("main",)]
 
     cli("emit", "--outbox", str(tmp_path / "outbox"))
     sent = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "outbox")).collect()]
@@ -68,4 +65,4 @@ def test_a_day_with_the_command_line(spark, cli, tmp_path, capsys):
         ("e3", text_at(3)),
     ]
     with pytest.raises(ValueError):
-        cli("refs", "--delete", "main")
+        cli("branches", "--create", "main")

@@ -208,15 +208,40 @@ def test_audit_stops_a_publish(forked):
     assert rows_of(forked.read()) == [("a", 9), ("b", 5)]
 
 
-def test_tags_and_refs(spark, forked):
-    assert forked.create_tag("v1", at=0) == 0
-    forked.append(batch(spark, [(0, "c", 1)]))
-    assert rows_of(forked.read("v1")) == [("a", 2), ("b", 3)]
-    assert rows_of(forked.refs()) == [
-        ("BRANCH", "dev", 0),
-        ("BRANCH", "main", 3),
-        ("TAG", "v1", 0),
-    ]
+def test_a_publish_that_broke_off_is_completed(spark, forked, monkeypatch):
+    def crash(*args):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(type(forked), "refork", crash)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        publish(forked, "dev")
+    monkeypatch.undo()
+    forked.append(batch(spark, [(0, "c", 1)]), "dev")
+    publish(forked, "dev")
+    assert rows_of(forked.read()) == [("a", 9), ("b", 5), ("c", 1)]
+    assert diff(forked, "dev").isEmpty()
+
+
+def test_rows_after_the_audited_version_stay_on_the_branch(spark, forked):
+    audited = forked.latest_version("dev")
+    forked.append(batch(spark, [(0, "c", -1)]), "dev")
+    publish(forked, "dev", version=audited)
+    assert rows_of(forked.read()) == [("a", 9), ("b", 5)]
+    assert rows_of(forked.read("dev")) == [("a", 9), ("b", 5), ("c", -1)]
+    assert rows_of(diff(forked, "dev"), "event_id") == [("c",)]
+    publish(forked, "dev")
+    assert ("c", -1) in rows_of(forked.read())
+
+
+def test_appended_rows_are_published_once(spark, root):
+    t = open_table(spark, root, TableSpec("l", columns(event_id=TEXT, value=BIGINT), kind=APPEND))
+    t.create()
+    t.create_branch("dev")
+    t.append(batch(spark, [(0, "a", 1)]), "dev")
+    t.append(batch(spark, [(0, "a", 2)]))
+    publish(t, "dev")
+    publish(t, "dev")
+    assert rows_of(t.read()) == rows_of(t.read("dev")) == [("a", 1), ("a", 2)]
 
 
 # -- compaction -----------------------------------------------------------------
@@ -263,6 +288,52 @@ def test_append_only_keeps_every_row(spark, root):
     assert rows_of(t.read()) == before
 
 
+def test_a_commit_during_a_compaction_is_kept(spark, table):
+    read = table.latest_version()
+    table.append(batch(spark, [(0, "a", 7), (0, "c", 8)]))
+    compact(table, version=read)
+    assert rows_of(table.read()) == [("a", 7), ("b", 5), ("c", 8)]
+    compact(table, version=read)  # two at a time
+    assert rows_of(table.read()) == [("a", 7), ("b", 5), ("c", 8)]
+    compact(table)
+    assert rows_of(table.read()) == [("a", 7), ("b", 5), ("c", 8)]
+    assert table.layers()[-1].after == 5
+
+
+def test_a_compaction_that_overlaps_a_publish_keeps_the_new_fork(spark, forked):
+    read = forked.latest_version("dev")
+    publish(forked, "dev")
+    compact(forked, "dev", version=read)
+    assert rows_of(forked.read("dev")) == [("a", 9), ("b", 5)]
+
+
+def test_two_writers_lose_nothing(spark, root):
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = open_table(spark, root, TableSpec("l", columns(event_id=TEXT, value=BIGINT), kind=APPEND))
+    t.create()
+
+    def write(who):
+        for n in range(3):
+            t.append(batch(spark, [(0, who, n)]), writer=who, writer_batch=n)
+
+    with ThreadPoolExecutor(2) as both:
+        list(both.map(write, ["p", "q"]))
+    assert rows_of(t.read()) == [(w, n) for w in "pq" for n in range(3)]
+    assert [r.batch_id for r in t.snapshots().orderBy("batch_id").collect()] == list(range(7))
+
+
+def test_the_claim_of_a_dead_writer_is_void(spark, table, monkeypatch):
+    from tablestream.operators import changelog
+
+    assert table._claim("main", 3)
+    assert not table._claim("main", 3)
+    monkeypatch.setattr(changelog, "CLAIM_SECONDS", 0)
+    assert table.append(batch(spark, [(0, "c", 6)])) == 3
+    assert not table._claim("main", 3)
+    assert rows_of(table.read()) == [("a", 4), ("b", 5), ("c", 6)]
+
+
 # -- algebra ----------------------------------------------------------------------
 
 

@@ -37,9 +37,9 @@ class Inbox:
             self.sent += 1
         (self.folder / f"{self.sent:06d}.json").write_text("\n".join(lines) + "\n")
 
-    def run(self, job, *args, **kw):
+    def run(self, job, *args, progress="", **kw):
         stream = text_messages(self.spark, str(self.folder))
-        query = job(stream, *args, self.root, self.progress, interval=None, **kw)
+        query = job(stream, *args, self.root, self.progress + progress, interval=None, **kw)
         query.awaitTermination()
         assert query.exception() is None
 
@@ -94,6 +94,69 @@ def test_allowed_lateness_over_restarts(inbox):
     assert [r[0] for r in marks.collect()] == [at(t) for t in (10, 100, 100, 126, 126, 400)]
 
 
+@pytest.mark.parametrize("files", [1, 6])
+def test_allowed_lateness_of_a_backlog(inbox, files):
+    """The size of a batch does not decide which rows are late."""
+    rows = [sale(t, amount) for _, t, amount in ARRIVALS]
+    if files == 1:
+        inbox.send(*rows)
+    else:
+        for row in rows:
+            inbox.send(row)
+    inbox.run(jobs.windowed_sales)
+    totals = inbox.table(WINDOWED_SALES).read()
+    assert rows_of(totals, "window_start", F.col("total_sales").cast("int"))[0] == (at(0), 5)
+    assert rows_of(inbox.table(LATE_EVENTS_DLQ).read()) == [("us-east", 16.0, at(30))]
+
+
+def test_lines_without_an_offset_count_by_their_place(inbox):
+    for states in (["placed", "paid", "shipped"], ["delivered"]):
+        lines = [json.dumps({"event_id": "e1", "order_id": "A", "status": s}) for s in states]
+        inbox.send(*lines)
+        inbox.run(jobs.ingest)
+        assert rows_of(inbox.table(ORDER_EVENTS).read(), "status") == [(states[-1],)]
+
+
+def test_files_of_one_batch_count_by_their_time(inbox):
+    import os
+
+    for n, state in ((9, "placed"), (5, "paid"), (7, "shipped")):
+        path = inbox.folder / f"{n}.json"
+        path.write_text(json.dumps({"event_id": "e1", "status": state}) + "\n")
+        os.utime(path, (1_000_000 - n, 1_000_000 - n))
+    inbox.run(jobs.ingest)
+    assert rows_of(inbox.table(ORDER_EVENTS).read(), "status") == [("paid",)]
+
+
+def test_a_second_checkpoint_loses_nothing(inbox):
+    inbox.send({"event_id": "e1", "order_id": "A"}, "{broken")
+    inbox.run(jobs.ingest)
+    for old in inbox.folder.iterdir():
+        old.write_text(json.dumps({"event_id": "e2", "order_id": "B"}) + "\n{worse\n")
+    inbox.run(jobs.ingest, progress="-2")
+    inbox.run(jobs.ingest, progress="-2")
+    assert rows_of(inbox.table(ORDER_EVENTS).read(), "event_id") == [("e1",), ("e2",)]
+    assert rows_of(inbox.table(rejects_of("ingest")).read(), "value") == [("{broken",), ("{worse",)]
+
+
+def test_rejects_follow_the_branch(inbox):
+    inbox.send({"event_id": "e1", "order_id": "A"}, "{main")
+    inbox.run(jobs.ingest)
+    inbox.table(ORDER_EVENTS).create_branch("dev")
+    inbox.send("{dev")
+    inbox.run(jobs.ingest, branch="dev")
+    rejects = inbox.table(rejects_of("ingest"))
+    assert rows_of(rejects.read(), "value") == [("{main",)]
+    assert rows_of(rejects.read("dev"), "value") == [("{dev",), ("{main",)]
+
+
+def test_products_sold_keeps_what_it_cannot_read(inbox):
+    inbox.send("{broken", {"product_id": "P1", "order_id": "o1"})
+    inbox.run(jobs.undecoded)
+    reasons = inbox.table(rejects_of("products_sold")).read()
+    assert rows_of(reasons, "reason") == [("broken_text",), ("no_event_time",)]
+
+
 def test_windowed_sales_rejects_rows_without_region_or_time(inbox):
     inbox.send(
         sale(1, 1.0),
