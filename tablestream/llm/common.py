@@ -44,9 +44,11 @@ def only(cache=None) -> None:
 
     Workers live on between stages; the caches of all operators would add up.
     """
-    for other in _CACHES:
-        if other is not cache:
+    if others := [c for c in _CACHES if c is not cache]:
+        for other in others:
             other.clear()
+        _CACHES[:] = [c for c in _CACHES if c is cache]
+        pa.default_memory_pool().release_unused()
     if cache is not None and not any(c is cache for c in _CACHES):
         _CACHES.append(cache)
 

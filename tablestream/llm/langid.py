@@ -33,9 +33,11 @@ ALPHA = 0.05
 WORD = 24
 #: Probability, per letter, of a letter that no piece covers.
 FOREIGN = 1e-7
-CACHED_WORDS = 700_000
+CACHED_WORDS = 350_000
 #: New words scored together: their pieces take a few kilobytes each.
-TOGETHER = 4096
+TOGETHER = 1024
+#: Texts are scored together up to about this many words; a longer one is alone.
+WORDS_AT_ONCE = 50_000
 UNKNOWN = "und"
 START = "▁"
 
@@ -147,17 +149,24 @@ class Scorer:
 
     def clear(self) -> None:
         self.slot: dict[str, int] = {}
-        self.rows = np.zeros((0, len(self.model.languages)))
+        # Pages of the table take memory only once they are written.
+        self.rows = np.zeros((CACHED_WORDS, len(self.model.languages)))
 
     def of(self, words: list[str]) -> np.ndarray:
         found = list(map(self.slot.get, words))
         if None in found:
-            if len(self.slot) > CACHED_WORDS:
-                self.clear()
             new = [w for w in dict.fromkeys(words) if w not in self.slot]
-            last = [self.score(new[a : a + TOGETHER]) for a in range(0, len(new), TOGETHER)]
-            self.slot.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
-            self.rows = np.concatenate([self.rows, *last])
+            if len(self.slot) + len(new) > len(self.rows):
+                self.clear()
+                new = list(dict.fromkeys(words))
+            if len(new) > len(self.rows):
+                # More than the cache holds: a table for these words only.
+                self.rows = np.zeros((len(new), len(self.model.languages)))
+            first = len(self.slot)
+            for a in range(0, len(new), TOGETHER):
+                part = new[a : a + TOGETHER]
+                self.rows[first + a : first + a + len(part)] = self.score(part)
+            self.slot.update(zip(new, range(first, first + len(new))))
             found = list(map(self.slot.__getitem__, words))
         return self.rows[found]
 
@@ -169,10 +178,19 @@ class Scorer:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         only(self)
-        words = [[p for w in words_of(t or "") for p in parts_of(w)] for t in texts]
+        out, held, size = [], [], 0
+        for text in texts:
+            held.append([p for w in words_of(text or "") for p in parts_of(w)])
+            size += len(held[-1])
+            if size >= WORDS_AT_ONCE:
+                out += self.predict_words(held)
+                held, size = [], 0
+        return out + self.predict_words(held)
+
+    def predict_words(self, words: list[list[str]]) -> list[tuple[str, float]]:
         sizes = [len(w) for w in words]
         rows = self.of([w for group in words for w in group])
-        total = np.zeros((len(texts), len(self.model.languages)))
+        total = np.zeros((len(words), len(self.model.languages)))
         filled = np.flatnonzero(sizes)
         if len(filled) and len(self.model.languages):
             starts = (np.cumsum(sizes) - sizes)[filled]

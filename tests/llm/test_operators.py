@@ -443,3 +443,19 @@ def test_divide_skip_and_parities_lose_nothing():
             assert shingles.may_link(shingles.parity(a), len(a), shingles.parity(b), len(b))
             order = shingles.Order(np.sort(rng.choice(a, len(a) // 2)))
             assert len(np.intersect1d(order.prefix(a), order.prefix(b)))
+
+
+def test_language_scores_do_not_depend_on_the_cache(monkeypatch):
+    """Small caches and slices give the same languages and scores as large ones."""
+    path = vocabulary_path("piece_bpe_32k.model")
+    size = len(langid.pieces(path))
+    weight = np.random.default_rng(1).random((size + 1, 3)) / size
+    model = langid.Model(("a", "b", "c"), weight, path)
+    texts = [None, "", "1 2", *(" ".join(f"word{chr(97 + i % 26)}{'xyz'[j % 3] * j}" for j in range(40)) for i in range(30))]
+    want = langid.Scorer(model).predict(texts)
+    for cached, at_once in ((1, 1), (50, 60), (7, 10_000)):
+        monkeypatch.setattr(langid, "CACHED_WORDS", cached)
+        monkeypatch.setattr(langid, "WORDS_AT_ONCE", at_once)
+        got = langid.Scorer(model).predict(texts)
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert np.allclose([g[1] for g in got], [w[1] for w in want])
