@@ -20,10 +20,15 @@ as many bits as it has, where each shingle that only one of two sets has flips a
 1. Every node is tried against the smallest node of its runs that passes. That ties
    large groups of copies together with one trial per node.
 2. In runs with nodes of several components, the nodes outside the run's largest
-   component are held against the others, in blocks: twice against the one that is
-   nearest by the bits, then against all that are still of another component.
-
-No step gathers a run in one task. What passes is counted by the search itself.
+   component are held against the others: twice against the one that is nearest by
+   the bits, then against all that are still of another component. Larger runs are
+   cut into parts of about ``BLOCK`` nodes of like size, and two parts whose sizes
+   can be similar meet in a group of their own.
+
+No step gathers a run, or all of its asking nodes, in one task. A run whose nodes are
+of like size and do not link still has all its pairs compared by their bits, group by
+group: with ``R`` such nodes about ``R * R / BLOCK`` rows are moved. What passes is
+counted by the search itself.
 """
 
 from __future__ import annotations
@@ -449,33 +454,41 @@ PROPOSALS = pa.schema([("run", pa.int64()), ("a", pa.int64()), ("b", pa.int64())
 
 
 def proposed(all_of_them: bool):
-    """Pairs of one block of a run that may link, of different components: all, or for
-    each node that asks the one that is least apart."""
+    """Pairs of two parts of a run, or within one, that may link and are of different
+    components: all, or for each node that asks the one that is least apart."""
 
     def block(t: pa.Table) -> pa.Table:
-        node, comp, n = (t.column(c).to_numpy() for c in ("node", "comp", "n"))
+        node, comp, n, part, x, y = (
+            t.column(c).to_numpy() for c in ("node", "comp", "n", "part", "x", "y")
+        )
         asks = t.column("asks").to_numpy(zero_copy_only=False)
         bits = [np.frombuffer(b, "<u8") for b in t.column("bits").to_pylist()]
         width = np.array([len(b) for b in bits])
-        there = [
-            (own := np.flatnonzero(~asks & (width == w)), np.stack([bits[i] for i in own]))
-            for w in np.unique(width[~asks])
-        ]
+        # Who asks, and who is asked.
+        ways = [(asks, part == x)]
+        if (x != y).any():
+            ways = [(asks & (part == x), part == y), (asks & (part == y), part == x)]
+            ways = [w for w in ways if w[0].any()][: 1 if all_of_them else 2]
         out: set[tuple[int, int]] = set()
-        for q in np.flatnonzero(asks).tolist():
-            near = []
-            for own, matrix in there:
-                alike = DOWN * np.minimum(n[own], n[q]) >= UP * np.maximum(n[own], n[q])
-                some = (comp[own] != comp[q]) & alike
-                if not some.any():
-                    continue
-                own, words = own[some], min(matrix.shape[1], len(bits[q]))
-                apart = folded(matrix[some], words) ^ folded(bits[q], words)
-                apart = np.bitwise_count(apart).sum(axis=1).astype(np.int64)
-                good = apart <= most_apart(n[q], n[own])
-                near += zip(apart[good].tolist(), node[own[good]].tolist(), strict=True)
-            for _, x in near if all_of_them else [min(near)] if near else []:
-                out.add((min(int(node[q]), x), max(int(node[q]), x)))
+        for asking, asked in ways:
+            there = [
+                (own := np.flatnonzero(asked & (width == w)), np.stack([bits[i] for i in own]))
+                for w in np.unique(width[asked])
+            ]
+            for q in np.flatnonzero(asking).tolist():
+                near = []
+                for own, matrix in there:
+                    alike = DOWN * np.minimum(n[own], n[q]) >= UP * np.maximum(n[own], n[q])
+                    some = (comp[own] != comp[q]) & alike
+                    if not some.any():
+                        continue
+                    own, words = own[some], min(matrix.shape[1], len(bits[q]))
+                    apart = folded(matrix[some], words) ^ folded(bits[q], words)
+                    apart = np.bitwise_count(apart).sum(axis=1).astype(np.int64)
+                    good = apart <= most_apart(n[q], n[own])
+                    near += zip(apart[good].tolist(), node[own[good]].tolist(), strict=True)
+                for _, other in near if all_of_them else [min(near)] if near else []:
+                    out.add((min(int(node[q]), other), max(int(node[q]), other)))
         run = t.column("run")[0].as_py() if t.num_rows else 0
         pairs = {"a": [a for a, _ in out], "b": [b for _, b in out]}
         return pa.table({"run": [run] * len(out)} | pairs, PROPOSALS)
@@ -483,6 +496,56 @@ def proposed(all_of_them: bool):
     return block
 
 
+def size_bands() -> list[int]:
+    """Where bands of set sizes begin. Similar sets are of one band or of neighbours."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(out[-1] * DOWN // UP + 1)
+    return out
+
+
+def blocked(placed: DataFrame, open_runs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """The nodes of the open runs, once for each group that they meet in: parts ``x``
+    and ``y`` of a run. ``part`` is the node's own.
+
+    A run of up to ``BLOCK`` nodes is one part. In others the nodes that ask and those
+    that do not are of different parts, by size band and hash; a part of nodes that ask
+    meets itself and all parts of its own band and the next ones.
+    """
+    large = F.col("total") > BLOCK
+    bands = F.array(*[F.lit(b).cast("bigint") for b in size_bands()])
+    kind = {
+        "band": F.when(large, F.size(F.filter(bands, lambda b: b <= F.col("n")))).otherwise(0),
+        "asks": F.col("comp") != F.col("largest"),
+    }
+    big = scratch.settle(open_runs.where(large), "large")
+    cells = placed.join(big, "run").join(nodes.select("node", "n"), "node").withColumns(kind)
+    cells = cells.groupBy("run", "band", "asks").agg(F.count("*").alias("rows"))
+    cells = cells.select(
+        "run", "band", "asks", F.ceil(F.col("rows") / BLOCK).cast("bigint").alias("parts")
+    )
+    cells = cells.groupBy("run").agg(F.collect_list(F.struct("band", "asks", "parts")).alias("cells"))
+
+    def first(band, asks):
+        return F.shiftleft(band.cast("bigint") * 2 + asks.cast("bigint"), 40)
+
+    def numbers(cell):
+        at = first(cell["band"], cell["asks"])
+        return F.sequence(at, at + cell["parts"] - 1)
+
+    left = placed.join(open_runs, "run").join(cells, "run", "left")
+    left = left.join(nodes.select("node", "n", "bits"), "node").withColumns(kind)
+    band, asks = F.col("band"), F.col("asks")
+    own = F.filter("cells", lambda c: (c["band"] == band) & (c["asks"] == asks))[0]["parts"]
+    part = F.when(large, first(band, asks) + F.pmod(F.xxhash64("node"), own)).otherwise(F.lit(0))
+    met = F.filter("cells", lambda c: (F.abs(c["band"] - band) <= 1) & (c["asks"] | asks))
+    others = F.when(large, F.flatten(F.transform(met, numbers)))
+    left = left.withColumn("part", part.cast("bigint"))
+    left = left.withColumn("other", F.explode(F.coalesce(others, F.array(F.lit(0).cast("bigint")))))
+    x, y = F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y")
+    return left.select("run", x, y, "part", "node", "comp", "n", "bits", "asks")
+
+
 def proposals(
     runs: DataFrame, found: DataFrame, nodes: DataFrame, all_of_them: bool, scratch: Scratch
 ) -> DataFrame:
@@ -496,24 +559,19 @@ def proposals(
         .agg(
             F.max_by("comp", F.struct("n", "comp")).alias("largest"),
             F.count("*").alias("comps"),
-            F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts"),
+            F.sum("n").alias("total"),
         )
         .where("comps > 1")
         .drop("comps")
     )
-    left = placed.join(open_runs, "run").join(nodes.select("node", "n", "bits"), "node")
-    kept = ["run", "node", "comp", "n", "bits"]
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
-    there = left.select(*kept, F.lit(False).alias("asks"), part)
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    ask = left.where("comp <> largest").select(*kept, F.lit(True).alias("asks"), every)
+    open_runs = scratch.settle(open_runs, "open")
     found = (
-        there.unionByName(ask)
-        .groupBy("run", "part")
+        blocked(placed, open_runs, nodes, scratch)
+        .groupBy("run", "x", "y")
         .applyInArrow(proposed(all_of_them), "run bigint, a bigint, b bigint")
     )
     out = scratch.settle(found, "proposals")
-    scratch.drop(placed)
+    scratch.drop(placed, open_runs)
     return out
 
 

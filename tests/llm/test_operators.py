@@ -419,6 +419,49 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert shingles.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_runs_where_every_node_asks_are_met_in_bounded_groups(spark, monkeypatch):
+    """One template in most shingles of all texts: nearly nothing links, so all ask."""
+    monkeypatch.setattr(shingles, "BLOCK", 10)
+    monkeypatch.setattr(shingles, "RUN", 20)
+    real = shingles.proposed
+
+    def bounded(all_of_them):
+        block = real(all_of_them)
+
+        def checked(t):
+            assert t.num_rows <= 60
+            return block(t)
+
+        return checked
+
+    monkeypatch.setattr(shingles, "proposed", bounded)
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(5000)]
+    template = r.choices(words, k=80)
+    texts = [" ".join([*template, *r.choices(words, k=r.randint(18, 45))]) for _ in range(150)]
+    # A few that link, and some of other sizes.
+    texts += [t.rsplit(" ", r.randint(1, 9))[0] for t in texts[:12]]
+    texts += [" ".join([*template[:60], *r.choices(words, k=k)]) for k in range(1, 40)]
+    sets = brute_sets(texts)
+    pairs = [
+        (i, j)
+        for i, a in enumerate(sets)
+        for j, b in enumerate(sets[:i])
+        if 100 * len(a & b) >= 75 * len(a | b)
+    ]
+    want = brute_components(len(texts), pairs)
+    got = {x["doc_id"]: x["component_id"] for x in shingles.near_duplicates(docs(spark, texts)).collect()}
+    assert len(set(want)) > 100 and [got[i] for i in range(len(texts))] == want
+
+
+def test_similar_sizes_are_of_neighbouring_bands():
+    bands = shingles.size_bands()
+    for n in (*range(1, 3000), 10**6, 10**9 + 7):
+        largest = n * shingles.DOWN // shingles.UP
+        a, b = (int(np.searchsorted(bands, m, side="right")) for m in (n, largest))
+        assert b - a <= 1
+
+
 def test_divide_skip_and_parities_lose_nothing():
     rng = np.random.default_rng(4)
     sets = []
