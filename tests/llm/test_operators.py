@@ -287,6 +287,19 @@ def test_secret_network_learns_and_keeps_base(spark):
     assert len(nothing) == len(ODD) and not any(x["spans"] for x in nothing)
 
 
+def test_secret_network_sees_tokens_with_few_digits(spark):
+    r = random.Random(6)
+    some = ["word " * 9 + "password=" + "".join(r.choices("0123456789abcdef", k=20)) + " end" for _ in range(80)]
+    some += ["plain text of order 4711 and more words " * 3 for _ in range(80)]
+    hidden = "the key is " + "".join(r.choices("0123456789abcdef", k=23)).upper() + "Z9 here"
+    few = "the key is hQzRkWvTbXnMpL7cJdFgYsKw here"
+    assert [x[0] for x in secret_scan.mixed_spans(few, [])] == ["learned"]
+    assert secret_scan.mixed_spans("12345678901234567890123 averylongwordofonlyletters", []) == []
+    name = "see docs/guides/getting/started/part2 and someWordsOfPlainTextAndMore here"
+    got = secret_scan.scan(docs(spark, [*some, hidden, few, name])).collect()
+    assert [[s["kind"] for s in x["spans"]] for x in got[160:]] == [["learned"], ["learned"], []]
+
+
 # Embeddings
 
 
