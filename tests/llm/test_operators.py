@@ -300,6 +300,34 @@ def test_secret_network_sees_tokens_with_few_digits(spark):
     assert [[s["kind"] for s in x["spans"]] for x in got[160:]] == [["learned"], ["learned"], []]
 
 
+def test_long_candidates_are_read_to_their_end(spark):
+    token = "hQzRkWvTbX1MpL7cJdFgYs9w4D2"
+    for lead in (0, 1, 13, 20, 39, 200):
+        text = "see " + "a" * lead + token + " end"
+        parts = secret_scan.windows(secret_scan.window(text, 4, len(text) - 4))
+        assert all(len(w) == secret_scan.WIDTH for w in parts)
+        inside = [w[secret_scan.BEFORE : -secret_scan.AFTER] for w in parts]
+        whole = "a" * lead + token
+        assert all(any(whole[k : k + 20].encode() in w for w in inside) for k in range(len(whole) - 19))
+        assert parts[-1].endswith(b" end" + bytes(4))
+    r = random.Random(6)
+    some = ["word " * 9 + "password=" + "".join(r.choices("0123456789abcdef", k=20)) + " end" for _ in range(80)]
+    some += ["plain text of order 4711 and more words " * 3 for _ in range(80)]
+    path = "docs/guides/of/plain/text/and/more/words/for/order/"
+    tests = [f"see {path}{token}5 end", f"see {path}and/more/words2 end"]
+    got = secret_scan.scan(docs(spark, [*some, *tests])).collect()
+    assert [len(x["spans"]) for x in got[160:]] == [1, 0]
+
+
+def test_threshold_keeps_the_recall():
+    rng = np.random.default_rng(2)
+    # Findings that cannot be told from others: half of them score below an even chance.
+    some = [bytes(rng.integers(48, 58, secret_scan.WIDTH).tolist()) for _ in range(300)]
+    net = secret_scan.train(some[:100], some[100:])
+    held = net.score(secret_scan._array(some[:100:5]))
+    assert (held >= net.threshold).mean() >= secret_scan.RECALL
+
+
 # Embeddings
 
 
