@@ -7,8 +7,10 @@ it. Parsers go on behind what they have read, so a text is read once.
 
 Kinds ``email``, ``ip``, ``card`` and ``phone`` are exactly the leftmost
 non-overlapping matches of their base patterns. The method adds ``login`` (user and
-password in a URL), ``iban`` (two letters and two check digits, tested modulo 97)
-and ``ssn`` (three groups of digits behind a cue).
+password in a URL), ``iban`` (two letters and two check digits, tested modulo 97 at
+the length of the country, else at every end of a group, the longest first) and ``ssn``
+(three groups of digits). Both stand behind a cue in any case, with at most a few short
+words between.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ CALL = DIGITS | frozenset(" ().-")
 GAP = frozenset(" -")
 #: User information of a URL.
 USER = LETTERS | DIGITS | frozenset("-._~!$&'()*+,;=%")
-CUES = ("iban", "IBAN", "Iban", "ssn", "SSN", "social security", "Social Security")
+#: In any case: they are looked for in the text in lower case.
+CUES = ("iban", "ssn", "social security")
 
 Span = tuple[str, int, int]
 
@@ -42,7 +45,7 @@ def anchors():
 
     automaton = ahocorasick.Automaton()
     for anchor in ("@", "://", "+", *sorted(DIGITS), *CUES):
-        kind = "digit" if anchor in DIGITS else anchor.lower()
+        kind = "digit" if anchor in DIGITS else anchor
         automaton.add_word(anchor, (kind, len(anchor)))
     automaton.make_automaton()
     return automaton
@@ -128,28 +131,70 @@ def login_at(text: str, a: int) -> tuple[int, int] | None:
     return (a, end) if end > colon + 1 and text[end : end + 1] == "@" else None
 
 
-_IBAN = re.compile(r"[\s:=#-]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
-_SSN = re.compile(r"[^0-9\n]{0,12}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
+#: Characters of an account number, by country.
+LENGTHS = {
+    country: int(n)
+    for n, countries in (
+        part.split(":")
+        for part in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+            "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL "
+            "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+            "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC "
+            "32:LC 33:RU"
+        ).split()
+    )
+    for country in countries.split(",")
+}
+#: Between a cue and its number.
+NEAR = 24
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_SSN = re.compile(rf"[^0-9\n]{{0,{NEAR}}}([0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}})(?![0-9-])")
+
+
+def iban_end(text: str, a: int, b: int) -> int | None:
+    """Where the account number that begins at ``a`` ends, at ``b`` at the latest."""
+    ends, size = {}, 0
+    for at in range(a, b):
+        if text[at] == " ":
+            continue
+        size += 1
+        after = text[at + 1 : at + 2]
+        if size >= 15 and not (after in LETTERS or after in DIGITS):
+            ends[size] = at + 1
+    own = LENGTHS.get(text[a : a + 2])
+    for n in sorted(ends, key=lambda n: (n != own, -n)):
+        code = text[a : ends[n]].replace(" ", "")
+        if int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
+            return ends[n]
+    return None
 
 
 def cued(text: str, cue: str, end: int) -> Span | None:
-    kind = "iban" if cue == "iban" else "ssn"
-    m = (_IBAN if kind == "iban" else _SSN).match(text, end)
-    if not m:
-        return None
-    if kind == "iban":
-        code = m[1].replace(" ", "")
-        number = "".join(str(int(c, 36)) for c in code[4:] + code[:4])
-        if int(number) % 97 != 1:
-            return None
-    return kind, m.start(1), m.end(1)
+    if cue != "iban":
+        m = _SSN.match(text, end)
+        return ("ssn", m.start(1), m.end(1)) if m else None
+    at = end
+    while (m := _IBAN.search(text, at, end + NEAR + 64)) and m.start() <= end + NEAR:
+        if b := iban_end(text, *m.span()):
+            return "iban", m.start(), b
+        at = m.start() + 1
+    return None
+
+
+def lowered(text: str) -> str:
+    """In lower case, every character at its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower()[:1] for c in text)
 
 
 def personal(text: str) -> list[Span]:
     """All spans as (kind, start, end), by start and then kind as listed."""
     out: list[Span] = []
     email_end = ip_end = card_end = phone_end = 0
-    for last, (kind, size) in anchors().iter(text):
+    # Two cues may stand before one number.
+    cued_spans: set[Span] = set()
+    for last, (kind, size) in anchors().iter(lowered(text)):
         a = last + 1 - size
         if kind == "digit":
             if a >= ip_end:
@@ -172,7 +217,8 @@ def personal(text: str) -> list[Span]:
         elif kind == "://":
             if found := login_at(text, last + 1):
                 out.append(("login", *found))
-        elif found := cued(text, kind, last + 1):
+        elif (found := cued(text, kind, last + 1)) and found not in cued_spans:
+            cued_spans.add(found)
             out.append(found)
     order = {kind: i for i, kind in enumerate(KINDS)}
     return sorted(out, key=lambda s: (s[1], order[s[0]], s[2]))

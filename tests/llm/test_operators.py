@@ -257,6 +257,26 @@ def test_added_kinds_and_redaction(spark):
     assert pii.scan(docs(spark, ["x"]).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "IBAN <DE89 3704 0044 0532 0130 00> BIC COBADEFFXXX",
+        "IBAN: <DE89370400440532013000> A bank",
+        "IBAN <DE89 3704 0044 0532 0130 00> 2024-01-01",
+        "IBAN number: <DE89 3704 0044 0532 0130 00>",
+        "my iBaN (international) is\n<GB82 WEST 1234 5698 7654 32> AND MORE",
+        "İ IBAN / iban: <NO9386011117947>. NO",
+        "Ssn <078-05-1120>",
+        "SOCIAL SECURITY number (SSN) is <078-05-1120>",
+        "IBAN DE88 3704 0044 0532 0130 00 BIC",
+    ],
+)
+def test_numbers_behind_a_cue(text):
+    plain = text.replace("<", "").replace(">", "")
+    want = [(text.index("<"), text.index(">") - 1)] if "<" in text else []
+    assert [s[1:] for s in pii.personal(plain) if s[0] in ("iban", "ssn")] == want
+
+
 # Secrets
 
 
