@@ -12,6 +12,7 @@ from tablestream.llm import (
     langid,
     packing,
     pii,
+    prefix_trie,
     rans,
     secret_scan,
     shingles,
@@ -108,6 +109,10 @@ def op10_secret_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(ready(spark), sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -121,6 +126,10 @@ QUERIES = {
         op8_decontamination,
         op9_jaccard_join,
         op10_secret_network,
+        op13_prefix_trie,
     )
 }
-SQL: dict[str, str] = {"op5_perspective_rotation": chat.ROTATE_SQL}
+SQL: dict[str, str] = {
+    "op5_perspective_rotation": chat.ROTATE_SQL,
+    "op13_prefix_trie": prefix_trie.TRIE_SQL,
+}
