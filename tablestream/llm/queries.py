@@ -16,6 +16,8 @@ from tablestream.llm import (
     rans,
     secret_scan,
     shingles,
+    suffixes,
+    variants,
     warc,
 )
 from tablestream.llm.common import documents, ready, table
@@ -109,6 +111,23 @@ def op10_secret_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.groups(variants.words(documents(spark, sf_dir), every=97))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = suffixes.without_repeats(docs, length=400)
+    lengths = F.transform("spans", lambda s: s["hi"] - s["lo"])
+    return found.select(
+        "row.doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(table(ready(spark), sf_dir, "conversations"))
 
@@ -126,10 +145,13 @@ QUERIES = {
         op8_decontamination,
         op9_jaccard_join,
         op10_secret_network,
+        op11_spelling_variants,
+        op12_suffix_dedup,
         op13_prefix_trie,
     )
 }
 SQL: dict[str, str] = {
     "op5_perspective_rotation": chat.ROTATE_SQL,
+    "op11_spelling_variants": variants.GROUPS_SQL,
     "op13_prefix_trie": prefix_trie.TRIE_SQL,
 }
