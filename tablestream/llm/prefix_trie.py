@@ -35,7 +35,7 @@ from tablestream.llm.common import Batches, Scratch
 #: Turns of a path that one shard takes as a whole.
 SLICE = 4096
 #: Rows of paths in a shard, on average.
-SHARD_ROWS = 5000
+SHARD_ROWS = 1000
 #: Conversation ids in one chunk of a node's list of ends.
 CHUNK = 4096
 
