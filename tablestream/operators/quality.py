@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablestream.functions.money import discounted, money
+from tablestream.functions.times import micros, span_micros
 from tablestream.operators.keyed import first_per_key, last_per_key
 from tablestream.operators.lookup import lookup
 from tablestream.operators.sequence import HOT_ROWS, with_previous
@@ -114,14 +115,13 @@ def status_violations(
     key: str,
     status: str,
     order: Sequence[str],
-    slice_by: Column,
     transitions: dict[str, list[str]] = STATUS_TRANSITIONS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Events whose step from the previous status of their key is not allowed."""
     allowed = transition_table(events.sparkSession, transitions)
     steps = with_previous(
-        events, [key], order, {"previous_status": status}, slice_by, hot_rows
+        events, [key], order, {"previous_status": status}, hot_rows
     ).where(F.col("previous_status").isNotNull())
     known = (F.col("previous_status") == F.col("from_status")) & (
         F.col(status) == F.col("to_status")
@@ -134,11 +134,10 @@ def out_of_order(
     key: str,
     ts: str,
     arrival: Sequence[str],
-    slice_by: Column,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Events that arrived after one of the same key with a later event time."""
-    seen = with_previous(events, [key], arrival, {"previous_time": ts}, slice_by, hot_rows)
+    seen = with_previous(events, [key], arrival, {"previous_time": ts}, hot_rows)
     return seen.where(F.col(ts) < F.col("previous_time"))
 
 
@@ -204,6 +203,44 @@ def bursts(
     )
 
 
+def sliding_bursts(
+    events: DataFrame,
+    ts: str = "event_timestamp",
+    key: str = "category",
+    span: str = BURST_WINDOW,
+    least: int = BURST_EVENTS,
+    spans_per_slice: int = 64,
+) -> DataFrame:
+    """Instants that end a ``span`` with at least ``least`` events of a key, both ends
+    included, with the number ``n`` and the time of the first of them, ``since``.
+
+    Unlike ``bursts``, no boundary of a window can cut a burst. Events of one instant
+    are first one row. Time is cut into slices for every key alike, so that a hot key
+    is many tasks; the last ``span`` of a slice is carried into the next one, where it
+    counts and is not reported.
+    """
+    wide = span_micros(span)
+    slice_ = wide * spans_per_slice
+    instants = (
+        events.where(F.col(ts).isNotNull())
+        .groupBy(key, ts)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_at", micros(ts))
+    )
+    instants = instants.withColumn("_slice", F.expr(f"(_at - pmod(_at, {slice_})) div {slice_}"))
+    tail = F.col("_at") >= (F.col("_slice") + 1) * slice_ - wide
+    here = F.struct(F.col("_slice"), F.lit(False).alias("_carried"))
+    there = F.struct((F.col("_slice") + 1).alias("_slice"), F.lit(True).alias("_carried"))
+    copies = F.inline(F.when(tail, F.array(here, there)).otherwise(F.array(here)))
+    along = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(-wide, 0)
+    return (
+        instants.select(key, ts, "_at", "_n", copies)
+        .withColumns({"n": F.sum("_n").over(along), "since": F.min(ts).over(along)})
+        .where(~F.col("_carried") & (F.col("n") >= least))
+        .select(key, F.col(ts).alias("until"), "since", "n")
+    )
+
+
 def session_bursts(
     events: DataFrame,
     ts: str = "event_timestamp",
@@ -241,13 +278,17 @@ def session_bursts(
 def session_bursts_stream(
     events: DataFrame, ts: str, key: str, gap: str, least: int, delay: str
 ) -> DataFrame:
-    """The streaming form: a built-in session window, emitted once closed."""
+    """``session_bursts`` on a stream: a session is told once the watermark closes it.
+
+    Spark ends a session ``gap`` after its last event, that instant excluded; a silence
+    of exactly ``gap`` is still one session, as in the batch form.
+    """
     return (
         events.withWatermark(ts, delay)
-        .groupBy(F.session_window(ts, gap).alias("_s"), key)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(F.session_window(ts, f"{gap} 1 microsecond").alias("_s"), key)
+        .agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("last_event"))
         .where(F.col("n") >= least)
-        .select(key, F.col("_s.start").alias("session_start"), "n")
+        .select(key, F.col("_s.start").alias("session_start"), "last_event", "n")
     )
 
 

@@ -6,25 +6,18 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablestream.session import settle
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
 
 
-def hot_keys(df: DataFrame, key: Sequence[str], rows: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
-    """The heaviest keys above ``rows``; never more than ``most`` rows."""
-    return (
-        df.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows)
-        .orderBy(F.desc("_n"))
-        .limit(most)
-        .drop("_n")
-    )
+def hot_keys(df: DataFrame, key: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
+    """The keys above ``rows``: at most one for so many rows."""
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > rows).drop("_n")
 
 
 def with_previous(
@@ -32,48 +25,47 @@ def with_previous(
     key: Sequence[str],
     order: Sequence[str],
     previous: dict[str, str],
-    slice_by: Column,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``previous[c]``: the value of column ``c`` one row earlier in its key.
 
-    ``order`` must be total within a key and ``slice_by`` must not fall along
-    it. Ordinary keys are one window partition each. A hot key is cut into its
-    slices, and each slice starts from one carried row: the last one of the
-    slice before. Which keys count as hot changes the plan's balance and never
-    the result, so the list of hot keys may be bounded and broadcast.
+    ``order`` must be total within a key. Ordinary keys are one window partition each.
+    Rows of hot keys are sorted as a whole: Spark samples their order and cuts it into
+    ranges of like size, so a key is cut by rank however dense an hour or an instant of
+    it is. Each range of a key starts from one carried row: the last one of the range
+    before. Which keys count as hot changes the plan's balance and never the result.
     """
     key, order = list(key), list(order)
+    along = Window.partitionBy(*key).orderBy(*order)
     # Written once: both sides below read it, and an empty list needs neither.
     hot = settle(hot_keys(df, key, hot_rows), "hot-keys")
     if hot.isEmpty():
-        along = Window.partitionBy(*key).orderBy(*order)
         return df.withColumns({name: F.lag(c).over(along) for name, c in previous.items()})
 
     helpers = [f"_hot_{k}" for k in key]
-    tag = F.broadcast(hot.toDF(*helpers).withColumn("_hot", F.lit(True)))
+    tag = hot.toDF(*helpers)
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in key])
     values = list(dict.fromkeys([*order, *previous.values()]))
+    ranged = df.join(tag, same, "left_semi").repartitionByRange(*key, *order)
+    # Written with the number of its range, which must not change between its readers.
+    ranged = settle(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
 
+    over_ranges = Window.partitionBy(*key).orderBy("_range")
     tails = (
-        df.join(tag, same, "inner")
-        .withColumn("_slice", slice_by)
-        .groupBy(*key, "_slice")
+        ranged.groupBy(*key, "_range")
         .agg(F.max(F.struct(*values)).alias("_tail"))
-        .withColumn("_slice", F.lead("_slice").over(Window.partitionBy(*key).orderBy("_slice")))
-        .where(F.col("_slice").isNotNull())
-        .select(*key, "_slice", "_tail.*", F.lit(True).alias("_carried"))
-    )
-    rows = (
-        df.join(tag, same, "left")
-        .withColumn("_slice", F.when(F.col("_hot"), slice_by))
-        .withColumn("_carried", F.lit(False))
-        .drop("_hot", *helpers)
+        .withColumn("_range", F.lead("_range").over(over_ranges))
+        .where(F.col("_range").isNotNull())
+        .select(*key, "_range", "_tail.*", F.lit(True).alias("_carried"))
     )
-    along = Window.partitionBy(*key, "_slice").orderBy(*order)
-    return (
-        rows.unionByName(tails, allowMissingColumns=True)
-        .withColumns({name: F.lag(c).over(along) for name, c in previous.items()})
+    in_range = Window.partitionBy(*key, "_range").orderBy(*order)
+    cut = (
+        ranged.withColumn("_carried", F.lit(False))
+        .unionByName(tails, allowMissingColumns=True)
+        .withColumns({name: F.lag(c).over(in_range) for name, c in previous.items()})
         .where(~F.col("_carried"))
-        .drop("_slice", "_carried")
+        .drop("_range", "_carried")
     )
+    rest = df.join(tag, same, "left_anti")
+    whole = rest.withColumns({name: F.lag(c).over(along) for name, c in previous.items()})
+    return whole.unionByName(cut)

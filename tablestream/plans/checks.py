@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.operators import quality
-from tablestream.operators.late import high_water
+from tablestream.operators import partitions, quality
+from tablestream.operators.late import high_water, mark_late
 from tablestream.plans.registry import query
-from tablestream.plans.windows import HOURLY, LATE_SQL, LINES_SQL, MONTHLY
+from tablestream.plans.windows import HOURLY, HOURLY_GRACE, LATE_SQL, LINES_SQL, MONTHLY
+from tablestream.session import settle
 from tablestream.sources.tables import LINE_KEY, LINE_ORDER, late_events, order_lines, table
 
 DELAY_SQL = f"""
@@ -67,6 +68,96 @@ def late_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.late_by(_delayed(spark, sf_dir))
 
 
+#: Events as the messages of a topic with four partitions, dealt by user; offsets of the
+#: partitions interleave and begin at different numbers.
+PARTITIONS = 4
+PARTITIONED_SQL = f"""
+{LATE_SQL},
+messages AS (
+  SELECT *, user_id % {PARTITIONS} AS part,
+         (event_id + user_id % {PARTITIONS} * 37) * {PARTITIONS} + user_id % {PARTITIONS} AS arrival
+  FROM shifted
+),
+own AS (
+  SELECT *, {", ".join(
+      f"max(event_time) FILTER (part = {p}) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m{p}"
+      for p in range(PARTITIONS))}
+  FROM messages
+),
+common AS (
+  SELECT *, CASE WHEN {" AND ".join(f"m{p} IS NOT NULL" for p in range(PARTITIONS))}
+            THEN least({", ".join(f"m{p}" for p in range(PARTITIONS))}) END AS mark
+  FROM own
+),
+behind AS (SELECT *, (epoch_us(mark) - epoch_us(event_time)) / 1000000 AS delay_sec FROM common)
+"""
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.col("user_id") % PARTITIONS
+    offset = F.col("event_id") + part * 37
+    return late_events(spark, sf_dir).withColumns(
+        {"part": part, "arrival": partitions.arrival_number(offset, part, PARTITIONS)}
+    )
+
+
+def _behind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = partitions.common_high_water(_messages(spark, sf_dir), "event_time", "arrival", "part")
+    return quality.with_delay(marked, "event_time", "high_water")
+
+
+@query(
+    "R1 S1",
+    f"""
+    WITH {PARTITIONED_SQL}
+    SELECT count(*) AS total_events,
+           count(*) FILTER (delay_sec > 0) AS late_events,
+           100 * (count(*) FILTER (delay_sec > 0)) / count(*) AS late_pct,
+           CAST(sum(epoch_us(mark) - epoch_us(event_time)) FILTER (delay_sec > 0) AS DOUBLE)
+             / (count(*) FILTER (delay_sec > 0)) / 1000000 AS avg_delay_sec,
+           min(delay_sec) FILTER (delay_sec > 0) AS min_delay_sec,
+           max(delay_sec) FILTER (delay_sec > 0) AS max_delay_sec
+    FROM behind
+    """,
+)
+def partitioned_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delays behind the least of the partitions' marks."""
+    return quality.lateness_profile(_behind(spark, sf_dir))
+
+
+@query(
+    "R2",
+    f"""
+    WITH {PARTITIONED_SQL}
+    SELECT CASE WHEN delay_sec < 1800 THEN '0-1800s' WHEN delay_sec < 3600 THEN '1800-3600s'
+                WHEN delay_sec < 5400 THEN '3600-5400s' WHEN delay_sec < 7200 THEN '5400-7200s'
+                ELSE '7200s+' END AS bucket, count(*) AS n
+    FROM behind WHERE delay_sec > 0 GROUP BY 1
+    """,
+)
+def partitioned_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.delay_histogram(_behind(spark, sf_dir), step=1800)
+
+
+@query(
+    "T2 T4 T5",
+    f"""
+    WITH {PARTITIONED_SQL}
+    SELECT event_id, region, total_amount, event_time,
+           coalesce(date_trunc('hour', event_time) + INTERVAL 1 HOUR + INTERVAL 65 MINUTE <= mark, false) AS is_late
+    FROM behind
+    """,
+)
+def partitioned_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows come after every partition had passed their window and the grace."""
+    rows = _messages(spark, sf_dir)
+    closings = settle(
+        partitions.common_closings(rows, "event_time", "arrival", "part", HOURLY, HOURLY_GRACE), "closings"
+    )
+    marked = mark_late(rows, "event_time", "arrival", HOURLY, HOURLY_GRACE, closings=closings)
+    return marked.select("event_id", "region", "total_amount", "event_time", "is_late")
+
+
 @query(
     "R3",
     f"""
@@ -128,7 +219,6 @@ def status_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         ["ts", "event_id"],
-        slice_by=F.date_trunc("HOUR", "ts"),
         transitions=EVENT_STEPS,
     ).select("event_id", "user_id", "previous_status", "event_type")
 
@@ -149,7 +239,6 @@ def out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_time",
         ["event_id"],
-        slice_by=F.floor(F.col("event_id") / 65536),
     )
 
 
@@ -197,6 +286,22 @@ def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.bursts(events, "ts", size=HOURLY, least=5)
 
 
+@query(
+    "R8",
+    """
+    WITH counted AS (
+      SELECT event_type AS category, ts AS until, min(ts) OVER w AS since, count(*) OVER w AS n
+      FROM events
+      WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW))
+    SELECT DISTINCT category, until, since, n FROM counted WHERE n >= 6
+    """,
+)
+def sliding_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six events of a kind within any hour, wherever it begins."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "category")
+    return quality.sliding_bursts(events, "ts", span=HOURLY, least=6)
+
+
 @query(
     "R8",
     """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,15 +101,40 @@ def arrivals(batch: DataFrame) -> DataFrame:
     )
 
 
-def write_messages(messages: DataFrame, folder: str) -> None:
-    """Offline stand-in for the topic: the message text, one per line."""
+def in_key_order(
+    messages: DataFrame, key: str, order: Sequence[str], partitions: int | None = None
+) -> DataFrame:
+    """Deal messages out by their key and sort each part: a key's messages leave one
+    task one after the other, as a topic's partition must take them."""
+    dealt = messages.repartition(partitions, key) if partitions else messages.repartition(key)
+    return dealt.sortWithinPartitions(key, *order)
+
+
+def write_messages(
+    messages: DataFrame,
+    folder: str,
+    key: str | None = None,
+    order: Sequence[str] = (),
+    files: int | None = None,
+) -> None:
+    """Offline stand-in for the topic: the message text, one per line.
+
+    With ``key`` the messages of a key stand in one file by ``order``.
+    """
+    if key:
+        messages = in_key_order(messages, key, order, files)
     messages.select("value").write.mode("append").text(folder)
 
 
-def publish_to_kafka(messages: DataFrame, brokers: str, topic: str) -> None:
-    """Batch write of ``key``/``value`` rows. Needs Spark's Kafka package."""
+def publish_to_kafka(messages: DataFrame, brokers: str, topic: str, order: Sequence[str] = ()) -> None:
+    """Batch write of ``key``/``value`` rows, those of a key by ``order`` if it is given.
+
+    Needs Spark's Kafka package. A retried task sends its messages again, so a reader
+    takes the last of a key and not the count.
+    """
+    rows = in_key_order(messages, "key", order) if order else messages
     (
-        messages.select("key", "value")
+        rows.select("key", "value")
         .write.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("topic", topic)

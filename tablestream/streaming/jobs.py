@@ -144,7 +144,9 @@ def regional_orders(
         )
         try:
             save_rejects(rejects, rejected(rows), writer, batch_id, branch)
-            enriched = lookup.regional_orders(accepted(rows).drop("event_time"), regions)
+            enriched = lookup.regional_orders(
+                accepted(rows).drop("event_time"), regions, heavy_rows=lookup.HEAVY_ROWS
+            )
             orders.append(enriched, branch, writer=writer, writer_batch=batch_id)
         finally:
             rows.unpersist()

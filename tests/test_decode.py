@@ -138,3 +138,48 @@ def test_price_arithmetic(spark, base, discount, unit):
         F.col("unit").cast("double"), money.line_total("unit", "qty").cast("double")
     )
     assert tuple(priced.first()) == (unit, round(unit * 3, 2))
+
+
+def test_messages_of_a_key_leave_in_their_order(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("key"),
+        F.col("id").cast("string").alias("value"),
+        F.col("id").alias("at"),
+    )
+    write_messages(rows.repartition(7), folder, key="key", order=["at"], files=5)
+    files = [[int(x) for x in f.read_text().split()] for f in sorted((tmp_path / "out").glob("part-*"))]
+    assert sum(map(len, files)) == 3000
+    held = {}
+    for number, lines in enumerate(files):
+        for n in lines:
+            key = "hot" if n % 2 == 0 else str(n % 50)
+            assert held.setdefault(key, (number, []))[0] == number
+            held[key][1].append(n)
+    assert all(ids == sorted(ids) for _, ids in held.values()) and len(held) == 26
+
+
+def test_stored_days_are_pruned_by_a_joined_list(spark, tmp_path):
+    from tablestream.sources.days import on_days, read_days, replace_days, write_by_day
+
+    path = str(tmp_path / "days")
+    rows = spark.range(2000).select(
+        F.col("id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 3600).alias("ts")
+    )
+    write_by_day(rows, "ts", path)
+    stored = read_days(spark, path)
+    days = stored.where("id IN (50, 51, 1000, 1000)").select("event_day")
+    found = on_days(stored, days)
+    want = {r.event_day for r in days.collect()}
+    assert {r.event_day for r in found.select("event_day").distinct().collect()} == want and len(want) == 2
+    assert found.count() == 48
+    text = found._jdf.queryExecution().toString()
+    assert "dynamicpruning" in text
+    files = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and files
+    # A literal span of days, and days written anew.
+    first = str(min(want))
+    assert read_days(spark, path, first, first).count() == 24
+    replace_days(rows.where("id = 50"), "ts", path)
+    assert read_days(spark, path, first, first).count() == 1
+    assert read_days(spark, path).count() == 2000 - 23
