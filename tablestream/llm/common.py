@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tablestream.session import fresh_path, pin_utc, settle
+from tablestream.session import fresh_path, pin_utc
 from tablestream.sources.tables import table
 
-__all__ = ["Batches", "Scratch", "annotate", "arrow", "documents", "only", "ready", "settle", "table", "text_of"]
+__all__ = [
+    "Batches", "Scratch", "annotate", "arrow", "documents", "only", "ready", "release", "settle", "table", "text_of"
+]
 
 Batches = Iterable[pa.RecordBatch]
 
@@ -42,17 +47,45 @@ _CACHES: list = []
 def only(cache=None) -> None:
     """Empty the word caches that other operators have left in this worker.
 
-    Workers live on between stages; the caches of all operators would add up.
+    Workers live on between stages; the caches of all operators would add up. What
+    they held goes back to the system, which a C heap does not do by itself.
     """
     if others := [c for c in _CACHES if c is not cache]:
         for other in others:
             other.clear()
         _CACHES[:] = [c for c in _CACHES if c is cache]
+        gc.collect()
         pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
     if cache is not None and not any(c is cache for c in _CACHES):
         _CACHES.append(cache)
 
 
+#: Intermediate tables since the last ``release``.
+_WRITTEN: list[tuple[str, StructType]] = []
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives
+    lost executors."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    _WRITTEN.append((path, df.schema))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, forget: bool = False) -> None:
+    """Free the intermediate tables since the last call, or only forget them.
+
+    For a caller whose earlier results are written: what has not been written yet can
+    no longer be computed.
+    """
+    for path, schema in [] if forget else _WRITTEN:
+        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+    _WRITTEN.clear()
+
+
 class Scratch:
     """Tables in the shared folder that a later step of the same work replaces."""
 
@@ -61,17 +94,17 @@ class Scratch:
         self.paths: dict[int, str] = {}
 
     def settle(self, df: DataFrame, label: str) -> DataFrame:
-        path = fresh_path(self.spark, label)
-        df.write.parquet(path)
-        held = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(held)] = path
+        held = settle(df, label)
+        self.paths[id(held)] = _WRITTEN[-1][0]
         return held
 
     def drop(self, *held: DataFrame) -> None:
         """Free the space of tables that nothing reads any more."""
         for df in held:
             none = self.spark.createDataFrame([], df.schema)
-            none.write.mode("overwrite").parquet(self.paths.pop(id(df)))
+            path = self.paths.pop(id(df))
+            none.write.mode("overwrite").parquet(path)
+            _WRITTEN[:] = [w for w in _WRITTEN if w[0] != path]
 
 
 def text_of(df: DataFrame, column: str = "text"):
@@ -110,7 +143,7 @@ def annotate(
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["row", *names])
 
     row_type = packed.schema["row"].dataType
-    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+    from pyspark.sql.types import StructField, _parse_datatype_string
 
     added = _parse_datatype_string(schema)
     return packed.mapInArrow(step, StructType([StructField("row", row_type), *added.fields]))

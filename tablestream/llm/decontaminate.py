@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablestream.llm.common import Batches, arrow
+from tablestream.llm.common import Batches, arrow, only
 
 WINDOW = 10
 #: Bytes of benchmark text in one automaton; its nodes take a few hundred bytes for
@@ -163,6 +163,7 @@ def _pass(group: tuple[Item, ...], last: bool):
         runs_type = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         ids_type = pa.list_(pa.int64())
+        only()
         m = matcher(group)
         for batch in batches:
             texts, before, owners = (c.to_pylist() for c in batch.columns[1:])

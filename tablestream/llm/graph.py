@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablestream.llm.common import settle
+from tablestream.llm.common import Scratch
 
 #: Far beyond what the halving of distances needs; a guard, not a limit on results.
 ROUNDS = 60
@@ -22,7 +22,8 @@ def components(links: DataFrame) -> DataFrame:
     pairs = links.where("a <> b").select(
         F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
     )
-    edges = settle(pairs.distinct(), "edges")
+    scratch = Scratch(links.sparkSession)
+    edges = scratch.settle(pairs.distinct(), "edges")
     state = None
     for _ in range(ROUNDS):
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
@@ -30,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         smallest = smallest.select("node", F.least("node", "m").alias("m"))
         # Large star: what lies above a node goes to the smallest around the node.
         above = both.where("lo > hi").join(smallest, F.col("hi") == F.col("node"))
-        large = settle(
+        large = scratch.settle(
             above.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).distinct(),
             "edges",
         )
@@ -38,7 +39,8 @@ def components(links: DataFrame) -> DataFrame:
         below = large.join(lowest, F.col("hi") == F.col("node"))
         small = below.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         kept = lowest.select(F.col("node").alias("hi"), F.col("m").alias("lo"))
-        edges = settle(small.unionByName(kept).distinct(), "edges")
+        old, edges = edges, scratch.settle(small.unionByName(kept).distinct(), "edges")
+        scratch.drop(old, large)
         total = F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))
         now = tuple(edges.agg(F.count("*"), total).first())
         if now == state:

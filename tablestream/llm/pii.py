@@ -20,7 +20,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
-from tablestream.llm.common import annotate
+from tablestream.llm.common import annotate, only
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "login", "iban", "ssn")
@@ -241,6 +241,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
 
     def found(texts: list[str | None]) -> list[list]:
+        only()
         spans = [personal(t or "") for t in texts]
         clean = [t and redacted(t, s) for t, s in zip(texts, spans, strict=True)]
         rows = [[dict(zip(("kind", "start", "end"), x, strict=True)) for x in s] for s in spans]

@@ -680,18 +680,22 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 def representatives(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component one row with
     the smallest id stays; rows without shingles all stay."""
-    held = settle(docs.withColumn("_uid", F.monotonically_increasing_id()), "documents")
-    found = near_duplicates(held.select(F.col(text_col).alias("t"), F.col("_uid").alias("u")), "t", "u")
+    uid = "_uid"
+    while uid in docs.columns:
+        uid += "_"
+    held = settle(docs.withColumn(uid, F.monotonically_increasing_id()), "documents")
+    found = near_duplicates(held.select(F.col(text_col).alias("t"), F.col(uid).alias("u")), "t", "u")
     # Found by row number; which row is first by id is then decided per component.
-    parts = settle(found.select(F.col("doc_id").alias("_uid"), "root"), "parts")
-    ids = held.select("_uid", F.col(id_col).alias("_id"))
-    place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_uid"))
+    parts = settle(found.select(F.col("doc_id").alias("u"), "root"), "parts")
+    ids = held.select(F.col(uid).alias("u"), F.col(id_col).alias("i"))
+    place = F.struct(F.col("i").isNull().alias("none"), "i", "u")
     best = (
         parts.where("root IS NOT NULL")
-        .join(ids, "_uid")
+        .join(ids, "u")
         .groupBy("root")
         .agg(F.min(place).alias("best"))
-        .select(F.col("best._uid").alias("_uid"))
+        .select("best.u")
     )
-    kept = settle(best.unionByName(parts.where("root IS NULL").select("_uid")), "kept")
-    return held.join(kept, "_uid", "left_semi").drop("_uid")
+    kept = settle(best.unionByName(parts.where("root IS NULL").select("u")), "kept")
+    # The list of those kept grows with the documents: it is never broadcast.
+    return held.join(kept.withColumnRenamed("u", uid).hint("merge"), uid, "left_semi").drop(uid)

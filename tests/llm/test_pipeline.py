@@ -18,7 +18,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_all_queries_are_registered():
     found = __spark_entry__.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(found)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
