@@ -1,25 +1,26 @@
 """Keyed, append-only and partial-sum tables kept as Parquet changes.
 
-    <root>/<table>/changes/branch=<b>/batch_id=<n>/   the rows, written first
-    <root>/<table>/commits/<b>/<fold>/<n>/            one row, written last
+    <root>/<table>/changes/branch=<b>/batch_id=<n>/rows-<attempt>/   the rows, first
+    <root>/<table>/commits/<b>/<fold>/<n>.parquet                    one row, last
 
-Readers open only the folders of committed batches since the newest base, so a
+Readers open only the folders that commits since the newest base name, so a
 half-written batch is never seen and old history is not even listed. Commits are
 folded: the first commit of every hundred repeats the earlier rows, so a reader
 lists and opens one fold however long the history is.
 
 A writer names its own batch (``writer``, ``writer_batch``); a replay of a
-committed one is a no-op. Rows are written aside first; then a writer claims the
-next batch id with a file that must not exist, moves its rows there and commits.
-So several writers of one branch commit one after the other and lose nothing. A
-rewrite stores the version it was made of (``covers``), and readers add every
-batch after that version, whenever it was committed.
+committed one is a no-op. Rows are written aside, in a folder of their own, which the
+commit names. The commit is a whole file that takes its place only if nothing is
+there: a writer that is late, however late, finds its number taken and goes on to the
+next one. So several writers of one branch commit one after the other and lose
+nothing, and no clock decides. A rewrite stores the version it was made of
+(``covers``), and readers add every batch after that version, whenever it was
+committed.
 """
 
 from __future__ import annotations
 
 import re
-import time
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
@@ -37,8 +38,6 @@ MAIN = "main"
 ADD, REPLACE, FORK = "append", "replace", "fork"
 #: Commits per fold.
 FOLD = 100
-#: Age at which the claim of a writer that has not committed is void.
-CLAIM_SECONDS = 300
 
 
 class NoSuchVersion(LookupError):
@@ -87,10 +86,8 @@ class EventTable:
         """The newest fold with a finished commit. A commit is one file, so a
         writer that died leaves none, and the fold before still has it all."""
         for fold in sorted(map(int, self._children(f"commits/{branch}")), reverse=True):
-            folder = f"commits/{branch}/{fold}"
-            for entry in self._children(folder):
-                if any(x.endswith(".parquet") for x in self._children(f"{folder}/{entry}", files=True)):
-                    return fold
+            if any(x.endswith(".parquet") for x in self._children(f"commits/{branch}/{fold}", files=True)):
+                return fold
         return None
 
     def _children(self, folder: str, files: bool = False) -> list[str]:
@@ -155,17 +152,16 @@ class EventTable:
         batch_id, done = self._next(branch, writer, writer_batch)
         if done is not None:
             return done
-        # Named only when its turn comes: another writer may commit meanwhile.
-        pending = f"changes/branch={branch}/_pending-{uuid.uuid4().hex}"
+        attempt = f"rows-{uuid.uuid4().hex}"
         written = Observation()
         counted = self.as_changes(rows).observe(written, F.count(F.lit(1)).alias("rows"))
-        counted.write.parquet(f"{self.path}/{pending}")
+        counted.write.parquet(self._folder(branch, batch_id, attempt))
         return self._commit(
             branch,
             operation,
             batch_id,
-            pending,
             expected_head,
+            folder=attempt,
             rows=written.get["rows"],
             writer=writer,
             writer_batch=writer_batch,
@@ -205,40 +201,33 @@ class EventTable:
             raise NoSuchVersion(f"create branch {branch} of {self.spec.name} before writing to it")
         return (0 if head is None else head + 1), done
 
-    def _folder(self, branch: str, batch_id: int) -> str:
-        return f"{self.path}/changes/branch={branch}/batch_id={batch_id}"
+    def _folder(self, branch: str, batch_id: int, attempt: str) -> str:
+        return f"{self.path}/changes/branch={branch}/batch_id={batch_id}/{attempt}"
+
+    def stored(self, branch: str, batch_id: int) -> DataFrame:
+        """The rows of one committed batch, as they were written."""
+        row = self.versions(branch).where(F.col("batch_id") == batch_id).select("folder").first()
+        return self.spark.read.schema(self.change_schema).parquet(self._folder(branch, batch_id, row.folder))
 
     def _commit(
-        self,
-        branch: str,
-        operation: str,
-        batch_id: int,
-        pending: str | None = None,
-        expected_head: int | None = None,
-        **values,
+        self, branch: str, operation: str, batch_id: int, expected_head: int | None = None, **values
     ) -> int:
         """Commit under ``batch_id``, or under the next free id if others were faster."""
-        deadline = time.monotonic() + 2 * CLAIM_SECONDS
         while True:
             if expected_head is not None and batch_id != expected_head + 1:
                 raise HeadMoved(f"{branch} moved from {expected_head} to {batch_id - 1}")
-            if self._claim(branch, batch_id):
-                break
-            if time.monotonic() > deadline:
-                raise TimeoutError(f"batch {batch_id} of {self.path} is not committed by its writer")
-            time.sleep(0.1)
+            if self._write_commit(branch, batch_id, operation, values):
+                return batch_id
+            taken = batch_id
             batch_id, done = self._next(branch, values.get("writer"), values.get("writer_batch"))
             if done is not None:
                 return done
-        try:
-            if pending:
-                self._move(pending, f"changes/branch={branch}/batch_id={batch_id}")
-            self._write_commit(branch, batch_id, operation, values)
-        finally:
-            self._delete(f"claims/{branch}/{batch_id}")
-        return batch_id
-
-    def _write_commit(self, branch: str, batch_id: int, operation: str, values: dict) -> None:
+            if attempt := values.get("folder"):
+                # Only this writer knows the folder, and no reader yet.
+                self._move(self._folder(branch, taken, attempt), self._folder(branch, batch_id, attempt))
+
+    def _write_commit(self, branch: str, batch_id: int, operation: str, values: dict) -> bool:
+        """Whether the commit got its number: false if the number is taken."""
         given = {"branch": branch, "batch_id": batch_id, "operation": operation, **values}
         mark = given.get("high_water")
         computed = {
@@ -254,44 +243,43 @@ class EventTable:
         fold = max(batch_id, 0) // FOLD
         if fold and self._newest_fold(branch) != fold:
             row = self._read_commits([branch]).unionByName(row).coalesce(1)
-        row.write.mode("overwrite").parquet(f"{self.path}/commits/{branch}/{fold}/{batch_id}")
-
-    def _claim(self, branch: str, batch_id: int) -> bool:
-        """Whether this writer may commit ``batch_id``: nobody else has its claim,
-        a file whose creation fails when it exists. The claim of a writer that died
-        is void after ``CLAIM_SECONDS``; the next one has a number of its own."""
-        folder, files = self._file_system(f"claims/{branch}/{batch_id}")
-        taken = files.listStatus(folder) if files.exists(folder) else []
-        newest = max((s.getModificationTime() for s in taken), default=0)
-        if time.time() * 1000 - newest < CLAIM_SECONDS * 1000:
-            return False
-        path, _ = self._file_system(f"claims/{branch}/{batch_id}/{len(taken)}")
+        aside = f"commits/{branch}/{fold}/_new-{uuid.uuid4().hex}"
+        row.write.parquet(f"{self.path}/{aside}")
+        (part,) = [x for x in self._children(aside, files=True) if x.endswith(".parquet")]
+        made = self._place(f"{aside}/{part}", f"commits/{branch}/{fold}/{batch_id}.parquet")
+        path, files = self._file_system(aside)
+        files.delete(path, True)
+        return made
+
+    def _place(self, source: str, target: str) -> bool:
+        """Give a whole file its name, unless the name is taken: one atomic step of the
+        store (a link on a local disk, a rename that refuses elsewhere)."""
+        jvm = self.spark._jvm
+        old, files = self._file_system(source)
+        new, _ = self._file_system(target)
         try:
-            files.create(path, False).close()
+            if files.getScheme() == "file":
+                local = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (new, old)]
+                jvm.java.nio.file.Files.createLink(*local)
+            else:
+                modes = self.spark.sparkContext._gateway.new_array(
+                    getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0
+                )
+                conf = self.spark._jsc.hadoopConfiguration()
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(old.toUri(), conf).rename(old, new, modes)
         except Py4JJavaError as error:
             if "FileAlreadyExists" not in str(error.java_exception):
                 raise
             return False
-        # A claim goes once its commit is there, so a late one may find it made.
-        fold = max(batch_id, 0) // FOLD
-        made = self._children(f"commits/{branch}/{fold}/{batch_id}", files=True)
-        if any(x.endswith(".parquet") for x in made):
-            files.delete(path, False)
-            return False
         return True
 
-    def _move(self, pending: str, folder: str) -> None:
-        """Give the written rows their place, over the leftovers of a dead writer."""
-        source, files = self._file_system(pending)
-        target, _ = self._file_system(folder)
-        files.delete(target, True)
-        if not files.rename(source, target):
+    def _move(self, source: str, target: str) -> None:
+        old, files = self._file_system(source.removeprefix(f"{self.path}/"))
+        new, _ = self._file_system(target.removeprefix(f"{self.path}/"))
+        files.mkdirs(new.getParent())
+        if not files.rename(old, new):
             raise OSError(f"cannot move {source} to {target}")
 
-    def _delete(self, folder: str) -> None:
-        path, files = self._file_system(folder)
-        files.delete(path, True)
-
     # -- branches ---------------------------------------------------
 
     def create_branch(self, branch: str, source: str = MAIN, at: int | None = None) -> int:
@@ -363,20 +351,21 @@ class EventTable:
             & (F.col("batch_id") > layer.after)
             & (F.col("batch_id") <= layer.upto)
         )
-        ids = [
-            r[0]
+        live = [
+            self._folder(layer.branch, *r)
             for r in self.versions(layer.branch)
             .where(added | (F.col("batch_id") == F.lit(layer.base)))
-            .select("batch_id")
+            .select("batch_id", "folder")
+            .orderBy("batch_id")
             .collect()  # batch numbers since the last compaction, not data
         ]
         schema = T.StructType([*self.change_schema.fields, T.StructField("batch_id", T.LongType())])
-        if not ids:
+        if not live:
             return self.spark.createDataFrame([], schema)
         rows = (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.path}/changes/branch={layer.branch}")
-            .parquet(*[self._folder(layer.branch, n) for n in sorted(ids)])
+            .parquet(*live)
         )
         if layer.base is None:
             return rows

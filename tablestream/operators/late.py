@@ -116,20 +116,6 @@ def undated(events: DataFrame, ts: str = "event_timestamp") -> DataFrame:
     return events.where(F.col(ts).isNull())
 
 
-def mark_late_against(
-    events: DataFrame,
-    high_water: Column,
-    ts: str = "event_timestamp",
-    size: str = WINDOW_SIZE,
-    grace: str = GRACE,
-) -> DataFrame:
-    """``mark_late`` when the high-water mark of earlier arrivals is known."""
-    windowed = tumble(events, ts, size)
-    return windowed.withColumn(
-        "is_late", F.coalesce(F.col("window_end") <= earlier(high_water, grace), F.lit(False))
-    )
-
-
 def on_time_sales(marked: DataFrame, key: str = "region", amount: str = "total_amount") -> DataFrame:
     """Partial sums of the accepted rows; they re-fire a window by adding up."""
     return (

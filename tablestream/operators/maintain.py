@@ -63,6 +63,5 @@ def compact(
         live = live.repartition(files)
     batch_id = own.append(live, branch, operation=REPLACE, covers=head)
 
-    rewritten = table.spark.read.schema(table.change_schema).parquet(table._folder(branch, batch_id))
-    new_files, new_bytes = file_stats(rewritten)
+    new_files, new_bytes = file_stats(table.stored(branch, batch_id))
     return Compaction(old_files, new_files, old_bytes, new_bytes, batch_id)

@@ -22,7 +22,6 @@ TERMINAL_STATUSES = ["delivered", "cancelled", "returned"]
 
 WINDOW_SIZE = "1 minute"
 OUT_OF_ORDER = "5 seconds"
-ALLOWED_LATENESS = "60 seconds"
 #: A row is late once the high-water mark is this far past its window's end.
 GRACE = "65 seconds"
 COMMIT_INTERVAL = "60 seconds"
@@ -59,15 +58,6 @@ REGION_DIM = T.StructType(
     ]
 )
 
-PRODUCT_DIM = T.StructType(
-    [
-        T.StructField("product_id", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("category", T.StringType()),
-        T.StructField("base_price", T.DoubleType()),
-    ]
-)
-
 COMMIT = T.StructType(
     [
         T.StructField("branch", T.StringType()),
@@ -81,6 +71,7 @@ COMMIT = T.StructType(
         T.StructField("writer_batch", T.LongType()),
         T.StructField("high_water", T.TimestampNTZType()),
         T.StructField("covers", T.LongType()),
+        T.StructField("folder", T.StringType()),
     ]
 )
 

@@ -64,7 +64,7 @@ def test_replayed_batch_changes_nothing(spark, table):
 
 
 def test_uncommitted_leftovers_are_not_seen_and_overwritten(spark, table):
-    table.as_changes(batch(spark, [(0, "z", 1)])).write.parquet(table._folder("main", 3))
+    table.as_changes(batch(spark, [(0, "z", 1)])).write.parquet(table._folder("main", 3, "rows-dead"))
     assert rows_of(table.read()) == [("a", 4), ("b", 5)]
     table.append(batch(spark, [(0, "c", 6)]), writer="w", writer_batch=3)
     assert rows_of(table.read()) == [("a", 4), ("b", 5), ("c", 6)]
@@ -112,7 +112,7 @@ def test_a_fold_that_was_never_finished_is_not_read(spark, root, monkeypatch):
     t = open_table(spark, root, SPEC)
     for n in range(2):
         t.append(batch(spark, [(0, "a", n)]))
-    (pathlib.Path(root) / "t/commits/main/1/2/_temporary/0").mkdir(parents=True)
+    (pathlib.Path(root) / "t/commits/main/1/_new-dead/_temporary/0").mkdir(parents=True)
     assert rows_of(t.read()) == [("a", 1)]
     assert t.append(batch(spark, [(0, "b", 2)])) == 2
     assert rows_of(t.read()) == [("a", 1), ("b", 2)]
@@ -323,15 +323,50 @@ def test_two_writers_lose_nothing(spark, root):
     assert [r.batch_id for r in t.snapshots().orderBy("batch_id").collect()] == list(range(7))
 
 
-def test_the_claim_of_a_dead_writer_is_void(spark, table, monkeypatch):
-    from tablestream.operators import changelog
+def test_a_writer_that_stalls_before_its_commit_loses_nothing(spark, table, monkeypatch):
+    """However long: another commits the number meanwhile, and both batches stay."""
+    place, other = table._place, open_table(spark, table.path.rsplit("/", 1)[0], SPEC)
 
-    assert table._claim("main", 3)
-    assert not table._claim("main", 3)
-    monkeypatch.setattr(changelog, "CLAIM_SECONDS", 0)
-    assert table.append(batch(spark, [(0, "c", 6)])) == 3
-    assert not table._claim("main", 3)
-    assert rows_of(table.read()) == [("a", 4), ("b", 5), ("c", 6)]
+    def stalled(source, target):
+        monkeypatch.setattr(table, "_place", place)
+        assert other.append(batch(spark, [(0, "d", 7)]), writer="b", writer_batch=1) == 3
+        return place(source, target)
+
+    monkeypatch.setattr(table, "_place", stalled)
+    assert table.append(batch(spark, [(0, "c", 6)]), writer="a", writer_batch=1) == 4
+    assert rows_of(table.read()) == [("a", 4), ("b", 5), ("c", 6), ("d", 7)]
+    assert [r.batch_id for r in table.snapshots().collect()] == [4, 3, 2, 1, 0]
+    assert rows_of(table.read(version=3)) == [("a", 4), ("b", 5), ("d", 7)]
+
+
+def test_a_stalled_publisher_is_told_that_the_head_moved(spark, table, monkeypatch):
+    from tablestream.operators.changelog import HeadMoved
+
+    place = table._place
+
+    def stalled(source, target):
+        monkeypatch.setattr(table, "_place", place)
+        table.append(batch(spark, [(0, "d", 7)]))
+        return place(source, target)
+
+    monkeypatch.setattr(table, "_place", stalled)
+    with pytest.raises(HeadMoved):
+        table.append(batch(spark, [(0, "c", 6)]), expected_head=2)
+    assert rows_of(table.read()) == [("a", 4), ("b", 5), ("d", 7)]
+
+
+def test_a_name_is_given_once_on_any_store(spark, table):
+    """The rename of stores without links refuses as well."""
+    jvm = spark._jvm
+    for name, text in (("one", "1"), ("two", "2")):
+        path, files = table._file_system(f"files/{name}")
+        files.create(path, False).close()
+    modes = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    one, two = (table._file_system(f"files/{n}")[0] for n in ("one", "two"))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(one.toUri(), spark._jsc.hadoopConfiguration())
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        context.rename(one, two, modes)
+    assert not table._place("files/one", "files/two")
 
 
 # -- algebra ----------------------------------------------------------------------

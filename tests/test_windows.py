@@ -86,7 +86,7 @@ def test_allowed_lateness(spark):
 def test_lateness_boundary(spark, mark, t, is_late):
     rows = sales(spark, [(0, mark, 1), (1, t, 1)])
     assert [r.is_late for r in late.mark_late(rows).orderBy("_seq").collect()] == [False, is_late]
-    known = late.mark_late_against(rows.where("_seq = 1"), zoneless(at(mark)))
+    known = late.mark_late(rows.where("_seq = 1"), mark=zoneless(at(mark)))
     assert [r.is_late for r in known.collect()] == [is_late]
 
 
