@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tablestream.operators import keyed, late
 from tablestream.operators.changelog import EventTable, open_table
 from tablestream.operators.maintain import compact
-from tablestream.operators.publish import audited_publish, diff, publish
+from tablestream.operators.publish import PublishRefused, audited_publish, diff, publish
 from tablestream.operators.windows import row_count, window_sales
 from tablestream.plans.registry import query
 from tablestream.plans.windows import HOURLY, HOURLY_GRACE, LATE_SQL, LINES_SQL, MONTHLY
@@ -376,6 +376,43 @@ def audited_branch_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.read()
 
 
+DEAR = 50_000
+
+
+@query(
+    "V4",
+    f"""
+    WITH {STATUS_SQL},
+    latest AS (
+      SELECT *, row_number() OVER (PARTITION BY order_id, line
+        ORDER BY batch_id DESC, event_time DESC, product_id DESC, supplier_id DESC) AS rn
+      FROM by_status)
+    SELECT order_id, line, product_id, supplier_id, total_amount, event_time FROM latest
+    WHERE rn = 1 AND NOT (o_orderstatus = 'P' AND total_amount >= {DEAR})
+    """,
+)
+def audit_refuses_until_mended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A check finds dear lines of pending orders on the branch: nothing is published.
+    They are deleted on the branch, and the same audit lets it pass."""
+    stored = _forked(spark, sf_dir)
+    pending = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
+    pending = pending.select(F.col("o_orderkey").alias("order_id"))
+
+    def dear(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("total_amount") >= DEAR).join(pending, "order_id", "left_semi")
+
+    head = stored.latest_version()
+    try:
+        audited_publish(stored, "dev", {"dear lines": dear})
+    except PublishRefused:
+        if stored.latest_version() != head:
+            raise RuntimeError("a refused publish changed the target") from None
+        found = dear(stored.read("dev")).withColumn("_op", F.lit(keyed.DELETE))
+        stored.append(found, "dev", writer="mending", writer_batch=0)
+        audited_publish(stored, "dev", {"dear lines": dear})
+    return stored.read()
+
+
 @query(
     "V2 V3",
     f"WITH {STATUS_SQL} SELECT * , 'upsert' AS change FROM ("
