@@ -8,8 +8,9 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from tablestream.llm import queries
+from tablestream.llm import common, queries, shingles
 from tablestream.llm.common import documents
+from tests.conftest import rows_of
 from tests.oracle import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -48,3 +49,37 @@ def test_stages_take_effect(spark):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
     assert last.select("doc_id").distinct().count() == counts[4]
     assert corpus_pipeline.run(spark, SF_DIR).count() == last.count()
+
+
+def test_a_column_may_have_the_name_of_a_helper(spark):
+    texts = ["one two three four five six seven", "one two three four five six seven", "other words altogether here now yes"]
+    docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id bigint, text string, _uid int")
+    kept = shingles.representatives(docs)
+    assert kept.columns == docs.columns
+    assert rows_of(kept, "doc_id", "_uid") == [(0, 0), (2, 2)]
+
+
+def test_release_frees_only_what_was_written_since(spark):
+    common.release(spark, forget=True)
+    held = common.settle(spark.range(100), "held")
+    (path, _), = common._WRITTEN
+    common.release(spark, forget=True)
+    common.release(spark)
+    assert held.count() == 100
+    common._WRITTEN.append((path, held.schema))
+    common.release(spark)
+    assert spark.read.schema(held.schema).parquet(path).isEmpty() and not common._WRITTEN
+
+
+def test_emptied_caches_are_forgotten():
+    class Cache:
+        emptied = 0
+
+        def clear(self):
+            self.emptied += 1
+
+    one, other = Cache(), Cache()
+    common.only(one)
+    common.only(other)
+    common.only()
+    assert (one.emptied, other.emptied) == (1, 1) and not common._CACHES
