@@ -20,6 +20,9 @@ from tablestream.llm.common import only
 
 #: Words whose ids a worker remembers (about 200 bytes each); beyond, it starts over.
 CACHED_WORDS = 800_000
+#: Fewer where a piece is a word by itself: packing comes last in the pipeline, when
+#: the executor has grown.
+CACHED_BARE_WORDS = 500_000
 
 
 class WordIds:
@@ -35,8 +38,9 @@ class WordIds:
         encode: Callable[[list[str]], list[np.ndarray]],
         mark: str,
         piece: Callable[[str], str | None],
+        most: int = CACHED_WORDS,
     ) -> None:
-        self.encode, self.mark, self.piece = encode, mark, piece
+        self.encode, self.mark, self.piece, self.most = encode, mark, piece, most
         self.mark_id = encode([mark])[0]
         self.joint = mark if mark.isspace() else f" {mark} "
         self.clear()
@@ -51,7 +55,7 @@ class WordIds:
         found = list(map(self.slot.get, words))
         if None in found:
             missing = [w for w, slot in zip(words, found, strict=True) if slot is None]
-            if len(self.slot) > CACHED_WORDS:
+            if len(self.slot) > self.most:
                 self.clear()
                 missing = words
             self.add(missing)
@@ -125,7 +129,7 @@ class Encoder:
         if self.cut == "before blank":
             self.words = WordIds(encode, "\n", _behind_blank)
         elif self.cut == "at blank":
-            self.words = WordIds(encode, "0", lambda word: word)
+            self.words = WordIds(encode, "0", lambda word: word, CACHED_BARE_WORDS)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [ids.tobytes() for ids in self.encode(texts)]
