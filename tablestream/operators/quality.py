@@ -218,6 +218,10 @@ def sliding_bursts(
     are first one row. Time is cut into slices for every key alike, so that a hot key
     is many tasks; the last ``span`` of a slice is carried into the next one, where it
     counts and is not reported.
+
+    An instant comes twice in its slice: when it enters the span, and one microsecond
+    after it has left it. Running sums over both give ``n``, and the instant after the
+    last that left is ``since``, so the work does not grow with the events in a span.
     """
     wide = span_micros(span)
     slice_ = wide * spans_per_slice
@@ -232,11 +236,30 @@ def sliding_bursts(
     here = F.struct(F.col("_slice"), F.lit(False).alias("_carried"))
     there = F.struct((F.col("_slice") + 1).alias("_slice"), F.lit(True).alias("_carried"))
     copies = F.inline(F.when(tail, F.array(here, there)).otherwise(F.array(here)))
-    along = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(-wide, 0)
+    in_slice = Window.partitionBy(key, "_slice").orderBy("_at")
+    # What enters at an instant counts at it; what has left before is gone by then.
+    along = Window.partitionBy(key, "_slice").orderBy("_when", "_enters").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    enters = F.struct(
+        F.col("_at").alias("_when"), F.lit(True).alias("_enters"), F.col("_n").alias("_change"),
+        F.lit(None).cast(events.schema[ts].dataType).alias("_first"),
+    )
+    leaves = F.struct(
+        (F.col("_at") + wide + 1).alias("_when"), F.lit(False).alias("_enters"), (-F.col("_n")).alias("_change"),
+        F.col("_next").alias("_first"),
+    )
     return (
         instants.select(key, ts, "_at", "_n", copies)
-        .withColumns({"n": F.sum("_n").over(along), "since": F.min(ts).over(along)})
-        .where(~F.col("_carried") & (F.col("n") >= least))
+        .withColumn("_next", F.lead(ts).over(in_slice))
+        .select(key, ts, "_slice", "_carried", F.inline(F.array(enters, leaves)))
+        .withColumns(
+            {
+                "n": F.sum("_change").over(along),
+                "since": F.coalesce(F.max("_first").over(along), F.min(ts).over(along)),
+            }
+        )
+        .where(F.col("_enters") & ~F.col("_carried") & (F.col("n") >= least))
         .select(key, F.col(ts).alias("until"), "since", "n")
     )
 

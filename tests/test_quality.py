@@ -292,6 +292,14 @@ def test_sliding_counts_equal_brute_force(spark, spans):
     assert rows_of(got, "category", "until", "since", "n") == sorted(want, key=repr)
 
 
+def test_no_span_is_summed_anew_for_each_event(spark):
+    """Frames begin at the slice's start; one of the span's width costs its events each time."""
+    df = spark.createDataFrame([("books", at(0))], "category string, event_timestamp timestamp_ntz")
+    plan = quality.sliding_bursts(df, span="60 seconds")._jdf.queryExecution().optimizedPlan().toString()
+    frames = [line for line in plan.splitlines() if "specifiedwindowframe" in line]
+    assert frames and not any("RangeFrame, -" in line for line in frames)
+
+
 # -- partitions of a source -----------------------------------------------------------
 
 
