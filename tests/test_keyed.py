@@ -4,8 +4,8 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from tablestream.operators import keyed
-from tablestream.operators.changelog import NoSuchVersion, open_table
+from tablestream.operators import keyed, maintain
+from tablestream.operators.changelog import EventTable, NoSuchVersion, open_table
 from tablestream.operators.maintain import compact
 from tablestream.operators.publish import PublishRefused, audited_publish, diff, publish
 from tablestream.schemas import (
@@ -288,6 +288,24 @@ def test_append_only_keeps_every_row(spark, root):
     assert rows_of(t.read()) == before
 
 
+def test_keys_are_merged_by_more_tasks_than_there_are_files(spark, table, monkeypatch):
+    """A file's worth of keys is too much for the memory of one task."""
+    monkeypatch.setattr(maintain, "MERGE_BYTES", 500, raising=False)
+    asked = []
+    read = EventTable.state_of
+
+    def seen(self, changes, **kw):
+        asked.append(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        return read(self, changes, **kw)
+
+    monkeypatch.setattr(EventTable, "state_of", seen)
+    report = compact(table)
+    assert asked[0] >= report.old_bytes / 500 > 1
+    assert report.new_files == 1
+    assert rows_of(table.read()) == [("a", 4), ("b", 5)]
+    assert not [x for x in table._children("") if x.startswith("_merged")]
+
+
 def test_a_commit_during_a_compaction_is_kept(spark, table):
     read = table.latest_version()
     table.append(batch(spark, [(0, "a", 7), (0, "c", 8)]))
