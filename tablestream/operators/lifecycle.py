@@ -5,6 +5,10 @@ counts for ``ttl`` of event time after that greatest time, so results do not dep
 when a batch runs. The store itself drops a key that no batch has brought for ``ttl`` by
 the clock: the watermark is set on the time of the batch and not on the events, so no
 late event is ever dropped. Only the columns the checks need enter the state operator.
+
+Keys are held in shards, dealt by a hash: a call of the state function handles all the
+rows of a shard with arrays, so that its cost is that of rows and not of calls. A key's
+own deadline stands in the shard, which is called again when the first of them is due.
 """
 
 from __future__ import annotations
@@ -17,7 +21,9 @@ from pyspark.sql import functions as F
 from tablestream.functions.times import micros, span_micros
 from tablestream.schemas import STATUS_TRANSITIONS
 
-_STATE = "status string, greatest bigint"
+_STATE = "keys array<string>, statuses array<string>, greatest array<bigint>, due array<bigint>"
+#: Groups of keys; the state of one is read and written as a whole.
+SHARDS = 1024
 #: By how much the clock of a restarted query may lie behind without loss.
 CLOCK_SKEW = "1 hour"
 #: Before every event: the time of a row that has none.
@@ -25,7 +31,7 @@ NEVER = -(2**63)
 
 
 def with_last(
-    events: DataFrame, key: str, status: str, ts: str, arrival: str, ttl: str
+    events: DataFrame, key: str, status: str, ts: str, arrival: str, ttl: str, shards: int = SHARDS
 ) -> DataFrame:
     """``key, arrival, status, ts, previous_status, greatest_time`` of a stream's rows.
 
@@ -33,12 +39,16 @@ def with_last(
     time of all its rows before; both NULL for the first row, and for a row more than
     ``ttl`` beyond that greatest time. Rows without a time have a status but move no
     time. Rows of one key are taken by ``arrival`` within a micro-batch, whose size the
-    source bounds, and batch after batch; rows without a key are left out.
+    source bounds, and batch after batch; rows without a key are left out. ``shards``
+    must not change while a query goes on from its checkpoint.
     """
     reach = span_micros(ttl)
     key_type, ts_type = events.schema[key].dataType, events.schema[ts].dataType
+    name = F.hex(key) if key_type.typeName() == "binary" else F.col(key).cast("string")
     rows = events.where(F.col(key).isNotNull()).select(
+        F.pmod(F.xxhash64(name), F.lit(shards)).alias("shard"),
         F.col(key).alias("key"),
+        name.alias("name"),
         F.col(arrival).cast("bigint").alias("arrival"),
         F.col(status).cast("string").alias("status"),
         F.coalesce(micros(ts), F.lit(NEVER)).alias("at"),
@@ -46,42 +56,70 @@ def with_last(
     )
     rows = rows.withWatermark("clock", CLOCK_SKEW)
 
-    def step(keys: tuple, frames: Iterator, state) -> Iterator:
+    def step(_shard: tuple, frames: Iterator, state) -> Iterator:
         import numpy as np
         import pandas as pd
 
-        if state.hasTimedOut:
+        held, statuses, greatest, due = (list(x) for x in state.get) if state.exists else ([], [], [], [])
+        watermark = state.getCurrentWatermarkMs()
+        if not state.hasTimedOut:
+            batch = pd.concat(list(frames)).sort_values(["arrival", "at"], kind="stable")
+            codes, names = pd.factorize(batch["name"])
+            names, n = names.tolist(), len(names)
+            slot = {k: i for i, k in enumerate(held)}
+            seen = np.array([k in slot for k in names])
+            for k in names:
+                if k not in slot:
+                    slot[k] = len(held)
+                    held.append(k)
+                    statuses.append(None)
+                    greatest.append(NEVER)
+                    due.append(0)
+            at_slot = [slot[k] for k in names]
+            # In front of a key's rows, in their order, stands what is held of it.
+            code = np.concatenate([np.arange(n), codes])
+            order = np.argsort(code, kind="stable")
+            code = code[order]
+            at = np.concatenate([np.array([greatest[i] for i in at_slot], np.int64), batch["at"].to_numpy(np.int64)])[order]
+            said = np.empty(len(order), dtype=object)
+            said[:] = [*(statuses[i] for i in at_slot), *(None if s is None or s != s else s for s in batch["status"])]
+            said = said[order]
+            # Greatest so far within a key: codes ascend, so a key's first beats the one before.
+            times, rank = np.unique(at, return_inverse=True)
+            reached = times[np.maximum.accumulate(code * len(times) + rank) % len(times)]
+            here = np.flatnonzero(order >= n)
+            before, now_at = reached[here - 1], at[here]
+            # A gap is only measured between two times; differences cannot overflow.
+            stale = (before != NEVER) & (now_at != NEVER)
+            stale[stale] = now_at[stale] - before[stale] > reach
+            gone = stale | ((order[here - 1] < n) & ~seen[code[here]])
+            previous = said[here - 1]
+            previous[gone] = None
+            clock = int(batch["clock"].max().timestamp() * 1000)
+            until = max(clock, watermark) + max(1, reach // 1000)
+            for i, end in zip(at_slot, np.flatnonzero(np.append(code[1:] != code[:-1], True)).tolist()):
+                statuses[i], greatest[i], due[i] = said[end], int(reached[end]), until
+            rows = batch.iloc[order[here] - n]
+            yield pd.DataFrame(
+                {
+                    "key": rows["key"].to_numpy(),
+                    "arrival": rows["arrival"].to_numpy(),
+                    "status": said[here],
+                    "at": now_at,
+                    "previous_status": previous,
+                    "greatest": np.where(gone, NEVER, before),
+                }
+            )
+        live = [i for i, d in enumerate(due) if d >= watermark]
+        if not live:
             state.remove()
             return
-        last, greatest = state.get if state.exists else (None, NEVER)
-        seen = bool(state.exists)
-        batch = pd.concat(list(frames)).sort_values(["arrival", "at"], kind="stable")
-        at = batch["at"].to_numpy(dtype=np.int64)
-        reached = np.maximum.accumulate(np.concatenate([[greatest], at]))
-        before = reached[:-1]
-        statuses = [None if s is None or s != s else s for s in batch["status"]]
-        # A gap is only measured between two times; differences cannot overflow.
-        stale = (before != NEVER) & (at != NEVER)
-        stale[stale] = at[stale] - before[stale] > reach
-        first = np.zeros(len(at), dtype=bool)
-        first[0] = not seen
-        gone = stale | first
-        previous = [last, *statuses[:-1]]
-        state.update((statuses[-1], int(reached[-1])))
-        now = int(batch["clock"].max().timestamp() * 1000)
-        state.setTimeoutTimestamp(max(now, state.getCurrentWatermarkMs()) + max(1, reach // 1000))
-        yield pd.DataFrame(
-            {
-                "key": [keys[0]] * len(at),
-                "arrival": batch["arrival"].to_numpy(),
-                "status": statuses,
-                "at": at,
-                "previous_status": [None if g else p for p, g in zip(previous, gone)],
-                "greatest": np.where(gone, NEVER, before),
-            }
-        )
-
-    found = rows.groupBy("key").applyInPandasWithState(
+        if len(live) < len(due):
+            held, statuses, greatest, due = ([x[i] for i in live] for x in (held, statuses, greatest, due))
+        state.update((held, statuses, greatest, due))
+        state.setTimeoutTimestamp(max(min(due), watermark + 1))
+
+    found = rows.groupBy("shard").applyInPandasWithState(
         step,
         f"key {key_type.simpleString()}, arrival bigint, status string, at bigint,"
         " previous_status string, greatest bigint",

@@ -64,6 +64,18 @@ def test_steps_and_times_of_the_checks(spark):
     assert rows_of(lifecycle.behind(checked, "t"), "event_id", "greatest_time") == [(3, at(11))]
 
 
+@pytest.mark.parametrize("shards", [1, 3])
+def test_keys_of_a_shard_stay_apart(spark, shards):
+    rng = random.Random(6)
+    rows = []
+    for i in range(200):
+        t = rng.choice([None, at(i * 60 + rng.randint(-600, 600))])
+        rows.append((rng.choice(["o1", "o2", "o3", "o4", None]), rng.choice(["placed", "paid", None]), t))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], EVENTS)
+    plan = lambda s: lifecycle.with_last(s, "order_id", "status", "t", "event_id", "10 minutes", shards)
+    assert rows_of(arrive(spark, df, CHECKED, plan)) == brute(rows, 600)
+
+
 # -- de-duplication over any span -------------------------------------------------
 
 
