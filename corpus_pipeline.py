@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablestream.llm import decontaminate, langid, packing, pii, shingles
-from tablestream.llm.common import documents, ready, release, table
+from tablestream.llm.common import collect_garbage, documents, ready, release, table
 from tablestream.llm.tokens import vocabulary_path
 from tablestream.session import settle
 
@@ -24,8 +24,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def begin(spark: SparkSession, first: bool = False) -> SparkSession:
-    """Free what the stage before has left; the first stage leaves others' tables alone."""
+    """Free what the stage before has left, on disk and in the executors' heaps; the
+    first stage leaves others' tables alone."""
     release(spark, forget=first)
+    collect_garbage(spark)
     return ready(spark)
 
 

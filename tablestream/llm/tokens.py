@@ -18,11 +18,11 @@ import pyarrow.compute as pc
 
 from tablestream.llm.common import only
 
-#: Words whose ids a worker remembers (about 200 bytes each); beyond, it starts over.
+#: Words whose ids a worker remembers; beyond, it starts over.
 CACHED_WORDS = 800_000
-#: Fewer where a piece is a word by itself: packing comes last in the pipeline, when
-#: the executor has grown.
-CACHED_BARE_WORDS = 500_000
+#: Fewer where a piece is a word by itself (420,000 took 265 MB of a worker): packing
+#: comes last in the pipeline, when an executor has more workers than cores.
+CACHED_BARE_WORDS = 250_000
 
 
 class WordIds:

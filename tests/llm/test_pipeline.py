@@ -36,6 +36,14 @@ def test_digests(spark):
         assert kinds.count("hex") == r["n_hex"] and kinds.count("assign") == r["n_assign"]
 
 
+def test_a_stage_begins_with_collected_heaps(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    count = lambda: sum(b.getCollectionCount() for b in beans)
+    before = count()
+    corpus_pipeline.begin(spark, first=True)
+    assert count() >= before + spark.sparkContext.defaultParallelism // 2
+
+
 def test_stages_take_effect(spark):
     docs = documents(spark, SF_DIR)
     counts = [docs.count()]
