@@ -563,3 +563,31 @@ def test_language_scores_do_not_depend_on_the_cache(monkeypatch):
         got = langid.Scorer(model).predict(texts)
         assert [g[0] for g in got] == [w[0] for w in want]
         assert np.allclose([g[1] for g in got], [w[1] for w in want])
+
+
+def test_secret_network_learns_from_every_finding(spark, monkeypatch):
+    r = random.Random(8)
+    some = ["word " * 9 + "password=" + "".join(r.choices("0123456789abcdef", k=20)) + " end" for _ in range(80)]
+    some += [" ".join(r.choices(["plain", "text", "order", "words", "house"], k=30)) + f" {i} more" for i in range(80)]
+    found = secret_scan.candidates(docs(spark, some), "text")
+    monkeypatch.setattr(secret_scan, "SHARE", 60, raising=False)
+    monkeypatch.setattr(secret_scan, "SAMPLE", 20, raising=False)
+    seen = []
+    shares = secret_scan.shares
+
+    def kept(found):
+        seen.append(shares(found))
+        return seen[0]
+
+    monkeypatch.setattr(secret_scan, "shares", kept)
+    net = secret_scan.learn(found)
+    held, n_positive, n_negative = seen[0]
+    assert n_positive == 80 and held.count() > 1
+    got = held.selectExpr("sum(size(positive)) AS p", "sum(size(negative)) AS n").first()
+    assert (got["p"], got["n"]) == (n_positive, n_negative)
+    good, plain = [[w for x in held.collect() for w in map(bytes, x[c])] for c in ("positive", "negative")]
+    scores = net.score(secret_scan._array(good))
+    assert (scores >= net.threshold).mean() > 0.9 and 0 < net.threshold < 1
+    assert scores.mean() > net.score(secret_scan._array(plain)).mean() + 0.3
+    again = secret_scan.learn(found)
+    assert again.threshold == net.threshold and (again.filters == net.filters).all()
