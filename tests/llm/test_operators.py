@@ -25,7 +25,7 @@ from tablestream.llm import (
     shingles,
     warc,
 )
-from tablestream.llm.common import ready
+from tablestream.llm.common import ready, settle
 from tablestream.llm.tokens import encoder, vocabulary_path
 from tablestream.session import fresh_path
 from tests.conftest import rows_of
@@ -307,6 +307,50 @@ def test_secret_network_learns_and_keeps_base(spark):
     assert len(nothing) == len(ODD) and not any(x["spans"] for x in nothing)
 
 
+def test_secret_scan_reads_texts_once(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+    inner = secret_scan.ordinary
+
+    def ordinary(text, taken):
+        read.add(1)
+        return inner(text, taken)
+
+    monkeypatch.setattr(secret_scan, "ordinary", ordinary)
+    texts = [f"token={i:06x}abc{i} and a word {i}" for i in range(40)]
+    got = secret_scan.scan(docs(spark, texts)).collect()
+    assert len(got) == 40 and all(r["spans"] for r in got)
+    assert read.value == 40
+    bare = secret_scan.scan(docs(spark, texts).select("text")).select("spans").collect()
+    assert sorted(r["spans"] for r in bare) == sorted(r["spans"] for r in got)
+
+
+def test_secret_examples_are_drawn_once_a_share(spark, monkeypatch):
+    drawn = spark.sparkContext.accumulator(0)
+    inner = secret_scan.examples
+
+    def examples(*given):
+        drawn.add(1)
+        return inner(*given)
+
+    monkeypatch.setattr(secret_scan, "examples", examples)
+    monkeypatch.setattr(secret_scan, "SHARE", 60)
+    texts = [f"x{i} token={i:06x}abc{i} plain word{i} and {i}" for i in range(120)]
+    found = secret_scan.candidates(docs(spark, texts), "text")
+    found = settle(found.select("candidates", "ordinary"), "findings")
+    shares = secret_scan.shares(found)
+    monkeypatch.setattr(secret_scan, "shares", lambda found: shares)
+    assert secret_scan.learn(found) and shares[0].count() > 1
+    assert drawn.value == shares[0].count()
+
+
+def test_number_is_the_first_run_with_a_digit():
+    r = random.Random(3)
+    for _ in range(2000):
+        text = "".join(r.choices("ab1 \n\u3000\x1f٣,", k=r.randint(0, 12)))
+        m = re.search(r"[^\s]*[0-9][^\s]*", text)
+        assert secret_scan.number(text) == (m and m.span())
+
+
 def test_secret_network_sees_tokens_with_few_digits(spark):
     r = random.Random(6)
     some = ["word " * 9 + "password=" + "".join(r.choices("0123456789abcdef", k=20)) + " end" for _ in range(80)]
