@@ -26,7 +26,7 @@ from tablestream.llm import (
     warc,
 )
 from tablestream.llm.common import ready, settle
-from tablestream.llm.tokens import encoder, vocabulary_path
+from tablestream.llm.tokens import Encoder, encoder, vocabulary_path
 from tablestream.session import fresh_path
 from tests.conftest import rows_of
 
@@ -124,6 +124,36 @@ def test_cached_tokens_are_the_library_s(path):
     assert e([]) == []
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_full_cache_keeps_repeated_words(path):
+    e, r = Encoder(path), random.Random(7)
+    e.words.most = 300
+    added, add = collections.Counter(), e.words.add
+    e.words.add = lambda words: (added.update(words), add(words))
+    common = ["".join(r.choices("abcdeéß", k=9)) for _ in range(100)]
+    for _ in range(30):
+        texts = [" ".join(["x", *common, *("".join(r.choices("fghijÀ1*", k=8)) for _ in range(100))])]
+        assert e(texts) == e.whole(texts)
+        assert len(e.words.slot) <= 300 + 201
+    assert max(added[w] for w in common) <= 2
+
+
+def test_words_of_any_case_and_before_a_stop_are_kept_once():
+    e, texts = Encoder(WORDS), ["Word, word. WORD wOrd,", "word.\nWord"]
+    assert e(texts) == e.whole(texts)
+    assert {*e.words.slot} == {"word", "\x01,", "\x01."}
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_letters_by_the_model_are_the_library_s(path):
+    e, r = Encoder(path), random.Random(8)
+    parts = "aHtIÀÿßÆ ,.\n'\u0331\u0307\u212A\u0130\u01C5ſµªº×÷\u0958가ᅡ一"
+    texts = ["".join(r.choices(parts, k=r.randint(0, 16))) for _ in range(3000)]
+    texts += ["a <|EndOfText|> B", "A<|endoftext|>B", "<|STARTOFTEXT|>", "É" * 300, ". . .", "a ... b .,. c"]
+    assert e(texts) == e.whole(texts)
+    assert e.words.letters is not None
+
+
 def test_token_files_round_trip(spark, monkeypatch):
     monkeypatch.setattr(rans, "FILE_IDS", 2000)
     table = docs(spark, [*ODD, None], first=-4).union(docs(spark, ["x"]).withColumn("doc_id", F.lit(None)))
