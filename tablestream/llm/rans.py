@@ -24,6 +24,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -168,18 +169,22 @@ def decode_block(block: bytes | memoryview, table: Table) -> tuple[int, int, np.
     return part, number, heads, np.concatenate(out) if out else np.zeros(0, "<u4")
 
 
-def _deflated(ids: bytes) -> bytes:
+@lru_cache(maxsize=1)
+def _zstd():
+    """Compress and decompress, with contexts that a worker makes once."""
     import zstandard
 
+    return zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
+
+
+def _deflated(ids: bytes) -> bytes:
     a = np.frombuffer(ids, "<u4")
     narrow = a.astype("<u2") if not len(a) or a.max() < 1 << 16 else a
-    return bytes([narrow.itemsize]) + zstandard.ZstdCompressor(level=3).compress(narrow.tobytes())
+    return bytes([narrow.itemsize]) + _zstd()[0](narrow.tobytes())
 
 
 def _inflated(kept: bytes) -> bytes:
-    import zstandard
-
-    raw = zstandard.ZstdDecompressor().decompress(kept[1:])
+    raw = _zstd()[1](kept[1:])
     return raw if kept[0] == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
 
 
