@@ -14,7 +14,14 @@ from tablestream.session import settle
 
 
 class PublishRefused(RuntimeError):
-    """Conflicting keys, a moved target or a failed audit; nothing was written."""
+    """Conflicting keys, a moved target or a failed audit; nothing was written.
+
+    ``offending`` holds the rows that each failed check found.
+    """
+
+    def __init__(self, reason: str, offending: dict[str, DataFrame] | None = None) -> None:
+        super().__init__(reason)
+        self.offending = offending or {}
 
 
 def _fork(table: EventTable, branch: str, into: str) -> Row:
@@ -106,6 +113,13 @@ def publish(
     return batch_id
 
 
+def _kept(rows: DataFrame) -> DataFrame:
+    """``rows`` written to the shared folder, if files can hold their columns."""
+    names, types = [c.lower() for c in rows.columns], rows.schema.simpleString()
+    odd = not names or len({*names}) < len(names) or "void" in types or "interval" in types
+    return rows if odd else settle(rows, "offending")
+
+
 def audited_publish(
     table: EventTable,
     branch: str,
@@ -118,7 +132,9 @@ def audited_publish(
     """
     head, version = table.latest_version(into), table.latest_version(branch)
     state = table.read(branch, version)
-    failed = [name for name, check in checks.items() if not check(state).isEmpty()]
+    # Kept, so that whoever mends the branch need not read its whole state again.
+    found = {name: _kept(check(state)) for name, check in checks.items()}
+    failed = {name: rows for name, rows in found.items() if not rows.isEmpty()}
     if failed:
-        raise PublishRefused(f"{branch} failed {', '.join(sorted(failed))}")
+        raise PublishRefused(f"{branch} failed {', '.join(sorted(failed))}", failed)
     return publish(table, branch, into, expected_head=head, version=version)

@@ -404,10 +404,10 @@ def audit_refuses_until_mended(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = stored.latest_version()
     try:
         audited_publish(stored, "dev", {"dear lines": dear})
-    except PublishRefused:
+    except PublishRefused as refused:
         if stored.latest_version() != head:
             raise RuntimeError("a refused publish changed the target") from None
-        found = dear(stored.read("dev")).withColumn("_op", F.lit(keyed.DELETE))
+        found = refused.offending["dear lines"].withColumn("_op", F.lit(keyed.DELETE))
         stored.append(found, "dev", writer="mending", writer_batch=0)
         audited_publish(stored, "dev", {"dear lines": dear})
     return stored.read()

@@ -208,6 +208,24 @@ def test_audit_stops_a_publish(forked):
     assert rows_of(forked.read()) == [("a", 9), ("b", 5)]
 
 
+def test_a_refused_audit_hands_over_what_it_found(spark, forked, monkeypatch):
+    checks = {
+        "small": lambda df: df.where("value > 8"),
+        "keyed": lambda df: df.where("event_id IS NULL"),
+        "odd names": lambda df: df.where("value > 8").select("value", "value", F.lit(None)),
+    }
+    with pytest.raises(PublishRefused) as refused:
+        audited_publish(forked, "dev", checks)
+    assert {*refused.value.offending} == {"small", "odd names"}
+    found = refused.value.offending["small"]
+    # The rows are kept: the branch's state is not computed for them again.
+    assert "Window" not in found._jdf.queryExecution().toString()
+    assert rows_of(found) == [("a", 9)]
+    forked.append(found.withColumn("_op", F.lit("D")), "dev")
+    audited_publish(forked, "dev", checks)
+    assert rows_of(forked.read()) == [("b", 5)]
+
+
 def test_a_publish_that_broke_off_is_completed(spark, forked, monkeypatch):
     def crash(*args):
         raise RuntimeError("driver lost")
